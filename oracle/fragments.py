@@ -84,3 +84,70 @@ companies AS (
   SELECT s_suppkey AS symbol, s_name AS company_name, r_name AS sector, n_name AS industry, 'X' AS exchange
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 )"""
+
+# SCD2 dimension after the initial load (1995-01-01) and the update (1998-01-01).
+DIM = COMPANIES + """,
+upd AS (
+  SELECT symbol, company_name,
+         CASE WHEN symbol % 3 = 0 THEN sector || '_NEW' ELSE sector END AS sector, industry, exchange
+  FROM companies WHERE symbol % 3 IN (0, 1)
+  UNION ALL
+  SELECT symbol + 1000000, company_name, sector, industry, exchange FROM companies WHERE symbol < 5
+),
+ch AS (
+  SELECT c.symbol FROM companies c JOIN upd u USING (symbol)
+  WHERE c.company_name IS DISTINCT FROM u.company_name OR c.sector IS DISTINCT FROM u.sector
+     OR c.industry IS DISTINCT FROM u.industry OR c.exchange IS DISTINCT FROM u.exchange
+),
+dim AS (
+  SELECT c.symbol, c.company_name, c.sector, c.industry, c.exchange, 1 AS version,
+         ch.symbol IS NULL AS is_current, DATE '1995-01-01' AS effective_from,
+         CASE WHEN ch.symbol IS NOT NULL THEN DATE '1997-12-31' END AS effective_to
+  FROM companies c LEFT JOIN ch USING (symbol)
+  UNION ALL
+  SELECT u.symbol, u.company_name, u.sector, u.industry, u.exchange, 2, true, DATE '1998-01-01', CAST(NULL AS DATE)
+  FROM upd u JOIN ch USING (symbol)
+  UNION ALL
+  SELECT u.symbol, u.company_name, u.sector, u.industry, u.exchange, 1, true, DATE '1998-01-01', CAST(NULL AS DATE)
+  FROM upd u WHERE u.symbol NOT IN (SELECT symbol FROM companies)
+)"""
+
+DIM_DATE = """
+bd AS (SELECT min(trade_date) AS lo, max(trade_date) AS hi FROM bars),
+dd AS (
+  SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_key, full_date,
+         CAST(year(full_date) AS INTEGER) AS year, CAST(quarter(full_date) AS INTEGER) AS quarter,
+         CAST(month(full_date) AS INTEGER) AS month, CAST(weekofyear(full_date) AS INTEGER) AS week_of_year,
+         CAST(isodow(full_date) - 1 AS INTEGER) AS day_of_week, isodow(full_date) >= 6 AS is_weekend,
+         false AS is_holiday
+  FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS full_date FROM bd)
+)"""
+
+FACTS = """
+facts AS (
+  SELECT CAST(strftime(p.trade_date, '%Y%m%d') AS INTEGER) AS date_key, p.symbol, p.trade_date,
+         p.open_price, p.high_price, p.low_price, p.close_price, p.adj_close_price, p.volume,
+         p.daily_return, d.version AS company_version
+  FROM prices p JOIN dim d ON d.symbol = p.symbol
+   AND p.trade_date BETWEEN d.effective_from AND coalesce(d.effective_to, DATE '9999-12-31')
+)"""
+
+FUNDAMENTALS = """
+fq AS (
+  SELECT l_suppkey AS symbol,
+         CAST(date_trunc('quarter', l_shipdate) + INTERVAL 3 MONTHS - INTERVAL 1 DAY AS DATE) AS report_period,
+         l_extendedprice AS x, l_quantity AS y
+  FROM lineitem
+),
+fund AS (
+  SELECT symbol, report_period, metric_name, round(metric_value + 1e-9, 2) AS metric_value
+  FROM (SELECT symbol, report_period, sum(x) AS marketCap, avg(y) AS pe, max(x) AS high52, min(x) AS low52
+        FROM fq GROUP BY ALL)
+  UNPIVOT (metric_value FOR metric_name IN (marketCap, pe, high52, low52))
+),
+promoted AS (
+  SELECT symbol, report_period, metric_name, metric_value FROM (
+    SELECT *, row_number() OVER (PARTITION BY symbol, metric_name
+                                 ORDER BY report_period DESC, metric_value DESC) AS rn_ FROM fund)
+  WHERE rn_ = 1
+)"""

@@ -145,6 +145,11 @@ def date_parts(d) -> list[Column]:
             (F.weekday(d) >= 5).alias("is_weekend")]
 
 
+def _whole(x: Column) -> Column:
+    """Python's ``{x:.0f}``: round half to even, then print the integer."""
+    return F.format_string("%.0f", F.bround(x, 0))
+
+
 def narrative_money(x: Column) -> Column:
     return F.concat(F.lit(RUPEE), F.format_string("%.2f", x))
 
@@ -164,8 +169,8 @@ def fundamentals_narrative(symbol, eps=None, pe=None, market_cap=None, book_valu
 
     def cap_render(v):
         return F.concat(F.lit("• Market Cap: "),
-                        F.when(v > CRORE, F.concat(F.lit(RUPEE), F.format_string("%.0f", v / CRORE), F.lit(" Cr")))
-                         .otherwise(F.concat(F.lit(RUPEE), F.format_string("%.0f", v))))
+                        F.when(v > CRORE, F.concat(F.lit(RUPEE), _whole(v / CRORE), F.lit(" Cr")))
+                         .otherwise(F.concat(F.lit(RUPEE), _whole(v))))
 
     hi = None if high52 is None else _c(high52).cast("double")
     lo_line = F.lit(None).cast("string")

@@ -46,3 +46,152 @@ def q_enriched_prices(spark, sf_dir):
 @query("market_pulse")
 def q_market_pulse(spark, sf_dir):
     return views.market_pulse(prices(spark, sf_dir), eps=TIE_EPS)
+
+
+# ------------------------------------------------------------------ shared inputs
+from pyspark.sql import functions as F  # noqa: E402
+
+from ticklake.operators import dims, quality  # noqa: E402
+from ticklake.plans import earnings  # noqa: E402
+
+INITIAL_LOAD = "1995-01-01"    # fixed: first dimension load
+UPDATE_LOAD = "1998-01-01"     # fixed: second dimension load
+
+
+def dim_companies(spark, sf_dir):
+    """K1 applied twice: initial load, then the later company snapshot."""
+    d0 = dims.scd2_upsert(dims.empty_dim(spark), fx.companies(spark, sf_dir), INITIAL_LOAD)
+    return dims.scd2_upsert(d0, fx.company_updates(spark, sf_dir), UPDATE_LOAD)
+
+
+def dim_date(spark, sf_dir):
+    return dims.dim_date_from(quality.date_bounds(fx.bars(spark, sf_dir)))
+
+
+def fact_prices(spark, sf_dir):
+    return dims.load_fact_prices(prices(spark, sf_dir), dim_companies(spark, sf_dir))
+
+
+@query("latest_bars")
+def q_latest_bars(spark, sf_dir):
+    return views.latest_bars(prices(spark, sf_dir))
+
+
+@query("rsi_simple")
+def q_rsi_simple(spark, sf_dir):
+    return ind.rsi_simple(ind.clean_bars(fx.bars(spark, sf_dir)), eps=TIE_EPS)
+
+
+@query("sector_momentum")
+def q_sector_momentum(spark, sf_dir):
+    return views.sector_momentum(prices(spark, sf_dir), dim_companies(spark, sf_dir), eps=TIE_EPS)
+
+
+@query("portfolio_risk")
+def q_portfolio_risk(spark, sf_dir):
+    return views.portfolio_risk(prices(spark, sf_dir), eps=TIE_EPS)
+
+
+@query("market_proxy")
+def q_market_proxy(spark, sf_dir):
+    m = views.market_proxy(prices(spark, sf_dir), n_dates=None)
+    return m.select("trade_date", F.round(F.col("market_log_return") + TIE_EPS, 8).alias("market_log_return"))
+
+
+@query("return_moments")
+def q_return_moments(spark, sf_dir):
+    return views.return_moments(prices(spark, sf_dir), eps=TIE_EPS)
+
+
+@query("recent_breadth")
+def q_recent_breadth(spark, sf_dir):
+    from ticklake.functions.labels import breadth_label
+    p = views.recent_breadth(views.market_pulse(prices(spark, sf_dir), eps=TIE_EPS), 10)
+    return p.select("trade_date", "advancing", "declining", "total_symbols", "advance_pct",
+                    breadth_label("advance_pct").alias("breadth"))
+
+
+@query("dim_companies")
+def q_dim_companies(spark, sf_dir):
+    return dim_companies(spark, sf_dir).drop("company_key")
+
+
+@query("dim_date")
+def q_dim_date(spark, sf_dir):
+    return dim_date(spark, sf_dir)
+
+
+@query("fact_prices")
+def q_fact_prices(spark, sf_dir):
+    d = dim_companies(spark, sf_dir).select("company_key", F.col("version").alias("company_version"))
+    f = fact_prices(spark, sf_dir)
+    return f.join(d, "company_key").drop("price_key", "company_key")
+
+
+@query("integrity_report")
+def q_integrity_report(spark, sf_dir):
+    return quality.integrity_report(fact_prices(spark, sf_dir), dim_companies(spark, sf_dir),
+                                    dim_date(spark, sf_dir), prices(spark, sf_dir))
+
+
+@query("table_health")
+def q_table_health(spark, sf_dir):
+    return quality.table_health({
+        "gold.dim_date": dim_date(spark, sf_dir),
+        "gold.dim_companies": dim_companies(spark, sf_dir),
+        "gold.fact_prices": fact_prices(spark, sf_dir),
+        "silver.prices": prices(spark, sf_dir),
+        "silver.news": fx.news(spark, sf_dir)})
+
+
+@query("price_contract")
+def q_price_contract(spark, sf_dir):
+    p = prices(spark, sf_dir)
+    cur = dim_companies(spark, sf_dir).filter("is_current")
+    return quality.contract_report(
+        p, "silver.prices", not_null=["symbol", "trade_date", "close_price"],
+        unique=[["symbol", "trade_date"]],
+        checks={"volume_non_negative": F.col("volume") >= 0,
+                "rsi_in_range": F.col("rsi_14").between(0, 100),
+                "normalised_in_unit": F.col("normalised_close").between(0, 1)},
+        foreign_keys=[("symbol", cur, "symbol")])
+
+
+@query("date_bounds")
+def q_date_bounds(spark, sf_dir):
+    return quality.date_bounds(prices(spark, sf_dir))
+
+
+@query("fundamentals_eav")
+def q_fundamentals_eav(spark, sf_dir):
+    return fx.fundamentals(spark, sf_dir)
+
+
+@query("promote_fundamentals")
+def q_promote_fundamentals(spark, sf_dir):
+    return dims.promote_fundamentals(fx.fundamentals(spark, sf_dir))
+
+
+@query("fact_fundamentals")
+def q_fact_fundamentals(spark, sf_dir):
+    d = dim_companies(spark, sf_dir)
+    f = dims.load_fact_fundamentals(fx.fundamentals(spark, sf_dir), d)
+    return f.join(d.select("company_key", F.col("version").alias("company_version")), "company_key") \
+            .drop("company_key")
+
+
+@query("stock_summary")
+def q_stock_summary(spark, sf_dir):
+    latest = views.latest_bars(prices(spark, sf_dir))
+    fund = dims.promote_fundamentals(fx.fundamentals(spark, sf_dir))
+    return earnings.stock_summary(latest, fund)
+
+
+@query("latest_metrics")
+def q_latest_metrics(spark, sf_dir):
+    return earnings.latest_metrics(fx.fundamentals(spark, sf_dir))
+
+
+@query("earnings_report")
+def q_earnings_report(spark, sf_dir):
+    return earnings.earnings_report(fx.fundamentals(spark, sf_dir))

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticklake.functions.numeric import TIE_EPS, rnd
 from ticklake.sources.tables import read_table
 
 # Fixed values of the fixtures (kept equal in the oracle SQL).
@@ -91,7 +92,7 @@ def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.min("l_extendedprice").alias("low52")))
     long = wide.unpivot(["symbol", "report_period"], list(FUNDAMENTAL_METRICS),
                         "metric_name", "metric_value")
-    return long.withColumn("metric_value", F.round("metric_value", 2))
+    return long.withColumn("metric_value", rnd("metric_value", 2, TIE_EPS))
 
 
 def headline_of(text: Column) -> Column:
@@ -117,6 +118,7 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
                       + F.make_dt_interval(F.lit(0), F.lit(0), minutes)).alias("published_at"),
                      F.concat(F.lit("https://news.invalid/"), F.col("doc_id").cast("string")).alias("url"),
                      F.col("text").alias("raw_body"),
+                     F.nullif(F.trim(F.split_part(F.col("text"), F.lit("\n"), F.lit(2))), F.lit("")).alias("summary"),
                      ((F.col("quality") - F.col("toxic")) * F.lit(0.5)).cast("double").alias("sentiment_score"),
                      F.col("doc_id")))
 
