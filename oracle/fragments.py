@@ -151,3 +151,91 @@ promoted AS (
                                  ORDER BY report_period DESC, metric_value DESC) AS rn_ FROM fund)
   WHERE rn_ = 1
 )"""
+
+NEWS = """
+news AS (
+  SELECT sha256(trim(split_part(d.text, chr(10), 1))) AS content_hash, d.source AS symbol,
+         trim(split_part(d.text, chr(10), 1)) AS headline, d.lang AS source,
+         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(d.doc_id * 20 AS INTEGER)) AS published_at,
+         'https://news.invalid/' || CAST(d.doc_id AS VARCHAR) AS url, d.text AS raw_body,
+         nullif(trim(split_part(d.text, chr(10), 2)), '') AS summary,
+         CAST((l.quality - l.toxic) * 0.5 AS DOUBLE) AS sentiment_score, d.doc_id
+  FROM documents d LEFT JOIN labels l USING (doc_id)
+),
+dedup AS (
+  SELECT * EXCLUDE (rn_) FROM (
+    SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY published_at, doc_id) AS rn_ FROM news)
+  WHERE rn_ = 1
+),
+silver0 AS (
+  SELECT content_hash, symbol, headline, source, published_at, url, CAST(NULL AS VARCHAR) AS summary,
+         CAST(NULL AS DOUBLE) AS sentiment_score, CAST(NULL AS TIMESTAMP) AS embedding_updated_at
+  FROM dedup
+),
+pending AS (
+  SELECT n.* FROM news n LEFT JOIN silver0 s USING (content_hash)
+  WHERE s.content_hash IS NULL OR s.summary IS NULL OR s.sentiment_score IS NULL
+)"""
+
+TOP3 = """
+e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS doc_id,
+         list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS sim
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id
+),
+top3 AS (
+  SELECT query_id, doc_id, CAST(rank AS INTEGER) AS rank, round(sim + 1e-9, 6) AS similarity,
+         round(1 - sim + 1e-9, 6) AS distance
+  FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, doc_id) AS rank FROM pairs)
+  WHERE rank <= 3
+)"""
+
+MESSAGES = """
+msg AS (
+  SELECT event_id, user_id, ts, value,
+         CASE WHEN event_id % 10 = 0 THEN 0.0 ELSE value END AS close_v
+  FROM events
+),
+valid AS (
+  SELECT 'U' || CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS trade_date, value AS "open",
+         value AS high, value AS low, close_v AS "close", 0.0::DOUBLE AS adj_close, CAST(100 AS BIGINT) AS volume,
+         CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month
+  FROM msg WHERE event_id % 10 <> 1 AND close_v > 0
+)"""
+
+QUOTES = """
+lastbar AS (
+  SELECT * FROM (SELECT symbol, trade_date, close_price,
+                        row_number() OVER (PARTITION BY symbol ORDER BY trade_date DESC) AS rn_ FROM bars)
+  WHERE rn_ = 1
+),
+q AS (
+  SELECT symbol,
+         CASE WHEN symbol % 2 = 0 THEN close_price * 1.01 END AS live_price,
+         close_price AS prev_close,
+         CASE WHEN symbol % 2 = 0 THEN (close_price * 1.01 - close_price) / close_price * 100 ELSE 0.0 END AS change_pct,
+         CASE WHEN symbol % 4 = 0 THEN close_price * 1e6 END AS market_cap,
+         CASE WHEN symbol % 4 = 0 THEN 20.0::DOUBLE END AS trailing_pe,
+         CASE WHEN symbol % 4 = 0 THEN 2.5::DOUBLE END AS price_to_book,
+         CASE WHEN symbol % 4 = 0 THEN close_price * 1.5 END AS fifty_two_week_high,
+         CASE WHEN symbol % 4 = 0 THEN close_price * 0.5 END AS fifty_two_week_low
+  FROM lastbar
+)"""
+
+SUMMARY = """
+lb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY trade_date DESC) AS rn_
+                      FROM prices) WHERE rn_ = 1),
+pv AS (SELECT symbol,
+         max(metric_value) FILTER (WHERE metric_name IN ('marketCap')) AS market_cap,
+         max(metric_value) FILTER (WHERE metric_name IN ('trailingPE', 'pe')) AS trailing_pe,
+         max(metric_value) FILTER (WHERE metric_name IN ('priceToBook')) AS price_to_book,
+         max(metric_value) FILTER (WHERE metric_name IN ('debtToEquity')) AS debt_to_equity,
+         max(metric_value) FILTER (WHERE metric_name IN ('returnOnEquity')) AS return_on_equity,
+         max(metric_value) FILTER (WHERE metric_name IN ('dividendYield')) AS dividend_yield,
+         max(metric_value) FILTER (WHERE metric_name IN ('high52')) AS fifty_two_week_high,
+         max(metric_value) FILTER (WHERE metric_name IN ('low52')) AS fifty_two_week_low
+       FROM promoted GROUP BY symbol),
+ss AS (SELECT lb.symbol, lb.trade_date AS as_of_date, close_price, daily_return, normalised_close, sma_20, sma_50,
+              rsi_14, pv.* EXCLUDE (symbol)
+       FROM lb LEFT JOIN pv ON pv.symbol = lb.symbol)"""

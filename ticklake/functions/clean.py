@@ -49,7 +49,7 @@ def decode_price_json(df: DataFrame, value: str = "value") -> DataFrame:
 
 def add_date_columns(df: DataFrame) -> DataFrame:
     """Parse trade_date / ingested_at; derive year and month."""
-    return (df.withColumn("trade_date", F.try_to_date(F.col("trade_date"), F.lit("yyyy-MM-dd")))
+    return (df.withColumn("trade_date", F.try_to_date(F.col("trade_date"), "yyyy-MM-dd"))
               .withColumn("ingested_at", F.try_to_timestamp(F.col("ingested_at")))
               .withColumn("year", F.year("trade_date"))
               .withColumn("month", F.month("trade_date")))
@@ -68,7 +68,7 @@ def split_valid_dead(df: DataFrame, close: str = "close") -> tuple[DataFrame, Da
 def safe_float(col: Column | str) -> Column:
     """NULL for NULL, '', '-' and non-numeric text."""
     s = F.trim(_c(col).cast("string"))
-    return F.try_cast(F.nullif(F.nullif(s, F.lit("")), F.lit("-")), "double")
+    return F.nullif(F.nullif(s, F.lit("")), F.lit("-")).try_cast("double")
 
 
 def lookback(df: DataFrame, days: int, as_of, date: str = "trade_date") -> DataFrame:

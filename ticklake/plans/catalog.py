@@ -195,3 +195,317 @@ def q_latest_metrics(spark, sf_dir):
 @query("earnings_report")
 def q_earnings_report(spark, sf_dir):
     return earnings.earnings_report(fx.fundamentals(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ news, text, vectors
+from ticklake.functions import clean as cl  # noqa: E402
+from ticklake.functions import labels as lb  # noqa: E402
+from ticklake.operators import text as tx  # noqa: E402
+from ticklake.operators import vectors as vx  # noqa: E402
+from ticklake.plans import live  # noqa: E402
+from ticklake.plans import news as nw  # noqa: E402
+from ticklake.sources import prices as src  # noqa: E402
+from ticklake.sources import sinks  # noqa: E402
+from ticklake.streaming import ingest  # noqa: E402
+
+BUDGET_SPENT = 10          # calls already spent today in the budget example
+
+
+def newest_article(news_df):
+    """as_of for the news views: the newest publication time in the data
+    (one scalar; a view parameter, not data passed through the driver)."""
+    return news_df.agg(F.max("published_at")).first()[0]
+
+
+def silver_news(spark, sf_dir):
+    """Silver news before enrichment: one row per content hash, no model output."""
+    d = tx.dedupe_news(fx.news(spark, sf_dir))
+    return d.select("content_hash", "symbol", "headline", "source", "published_at", "url",
+                    F.lit(None).cast("string").alias("summary"),
+                    F.lit(None).cast("double").alias("sentiment_score"),
+                    F.lit(None).cast("timestamp_ntz").alias("embedding_updated_at"))
+
+
+@query("news_sentiment_7d")
+def q_news_sentiment_7d(spark, sf_dir):
+    n = fx.news(spark, sf_dir)
+    return nw.news_sentiment_7d(n, newest_article(n), eps=TIE_EPS)
+
+
+@query("news_dedupe")
+def q_news_dedupe(spark, sf_dir):
+    return tx.dedupe_news(fx.news(spark, sf_dir)).drop("raw_body")
+
+
+@query("unenriched_news")
+def q_unenriched_news(spark, sf_dir):
+    return nw.unenriched_news(fx.news(spark, sf_dir), silver_news(spark, sf_dir)).drop("raw_body")
+
+
+@query("enrichment_batch")
+def q_enrichment_batch(spark, sf_dir):
+    pending = nw.unenriched_news(fx.news(spark, sf_dir), silver_news(spark, sf_dir))
+    return nw.enrichment_batch(pending).select("content_hash", "symbol", "doc_id", "published_at")
+
+
+@query("budgeted_batch")
+def q_budgeted_batch(spark, sf_dir):
+    pending = nw.unenriched_news(fx.news(spark, sf_dir), silver_news(spark, sf_dir))
+    return nw.budgeted_batch(pending, BUDGET_SPENT).select("content_hash", "symbol", "doc_id", "published_at")
+
+
+@query("news_feed")
+def q_news_feed(spark, sf_dir):
+    n = tx.dedupe_news(fx.news(spark, sf_dir))
+    return nw.news_feed(n)
+
+
+@query("enrich_news")
+def q_enrich_news(spark, sf_dir):
+    scores = tx.dedupe_news(fx.news(spark, sf_dir)).select("content_hash", "summary", "sentiment_score")
+    return nw.enrich_news(fx.news(spark, sf_dir), silver_news(spark, sf_dir), scores)
+
+
+@query("mark_processed")
+def q_mark_processed(spark, sf_dir):
+    s = silver_news(spark, sf_dir)
+    done = nw.embedding_batch(s)
+    return nw.mark_processed(s, done, newest_article(fx.news(spark, sf_dir)))
+
+
+@query("news_insert_ignore")
+def q_news_insert_ignore(spark, sf_dir):
+    """yesterday's silver (articles published before the midpoint of the
+    data's time span) plus today's arrivals; existing hashes are kept."""
+    n = fx.news(spark, sf_dir).drop("raw_body")
+    b = n.agg(F.min("published_at").alias("lo"), F.max("published_at").alias("hi")).first()
+    mid = b["lo"] + (b["hi"] - b["lo"]) / 2
+    old = tx.dedupe_news(n.filter(F.col("published_at") < nw._ts(mid)))
+    return sinks.insert_ignore(old, n, ["content_hash"], ["published_at", "doc_id"])
+
+
+@query("signed_sentiment")
+def q_signed_sentiment(spark, sf_dir):
+    from ticklake.sources.tables import read_table
+    lab = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    arr = F.array(F.struct(F.lit("positive").alias("label"), F.col("quality").cast("double").alias("score")),
+                  F.struct(F.lit("negative").alias("label"), F.col("toxic").cast("double").alias("score")),
+                  F.struct(F.lit("neutral").alias("label"), F.lit(0.5).alias("score")))
+    return lab.select("doc_id", tx.signed_sentiment(arr).alias("sentiment_score"))
+
+
+@query("keyword_sentiment")
+def q_keyword_sentiment(spark, sf_dir):
+    from ticklake.sources.tables import read_table
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return d.select("doc_id", lb.keyword_sentiment("text").alias("keyword_score"),
+                    lb.outlook_label(lb.keyword_sentiment("text")).alias("outlook"))
+
+
+def doc_chunks(spark, sf_dir):
+    from ticklake.sources.tables import read_table
+    return tx.chunk_text(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("chunk_text")
+def q_chunk_text(spark, sf_dir):
+    return doc_chunks(spark, sf_dir)
+
+
+@query("recombine_chunks")
+def q_recombine_chunks(spark, sf_dir):
+    c = doc_chunks(spark, sf_dir)
+    # stand-in for the per-chunk model output: the chunk's first line
+    c = c.select("doc_id", "chunk_index", F.trim(F.substring_index("chunk", "\n", 1)).alias("chunk_summary"),
+                 F.length("chunk").alias("chunk_chars"))
+    return tx.recombine_chunks(c, ["doc_id"])
+
+
+@query("text_fallback")
+def q_text_fallback(spark, sf_dir):
+    from ticklake.sources.tables import read_table
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    d = d.select("doc_id",
+                 F.when(F.pmod("doc_id", F.lit(3)) == 0, F.lit("")).otherwise(F.col("text")).alias("primary"),
+                 F.when(F.pmod("doc_id", F.lit(2)) == 0, F.lit("")).otherwise(F.col("text")).alias("secondary"))
+    out = tx.text_fallback(d, "primary", "secondary")
+    return out.select("doc_id", "method", "accepted", F.length("text").alias("text_chars"))
+
+
+def vector_topk(spark, sf_dir):
+    v = fx.vectors(spark, sf_dir)
+    return vx.cosine_topk(v.withColumnRenamed("vec_id", "query_id"), v.withColumnRenamed("vec_id", "doc_id"),
+                          vx.TOP_K, exclude_self=True, eps=TIE_EPS)
+
+
+@query("cosine_topk")
+def q_cosine_topk(spark, sf_dir):
+    return vector_topk(spark, sf_dir)
+
+
+@query("similarity_guard")
+def q_similarity_guard(spark, sf_dir):
+    v = fx.vectors(spark, sf_dir).select(F.col("vec_id").alias("query_id"))
+    g = vx.similarity_guard(vector_topk(spark, sf_dir), v)
+    return g.groupBy("query_id").agg(F.count("doc_id").alias("n_accepted"),
+                                     F.max("similarity").alias("best_similarity"))
+
+
+@query("rag_context")
+def q_rag_context(spark, sf_dir):
+    v = fx.vectors(spark, sf_dir).select(F.col("vec_id").alias("query_id"))
+    g = vx.similarity_guard(vector_topk(spark, sf_dir), v, threshold=0.2)
+    n = fx.news(spark, sf_dir)
+    meta = n.select(F.col("doc_id"), lb.doc_text("headline", "summary").alias("doc_text"), "url",
+                    "published_at", F.col("symbol").alias("ticker"))
+    ctx = vx.assemble_context(g, meta)
+    return ctx.select("query_id", "n_sources", "status", "context",
+                      F.array_join(F.transform("sources", lambda s: s["url"]), " ").alias("source_urls"))
+
+
+@query("embedding_compat")
+def q_embedding_compat(spark, sf_dir):
+    v = fx.vectors(spark, sf_dir)
+    meta = v.agg(F.lit("minilm").alias("model_name"), F.max(F.size("embedding")).alias("dimension"))
+    return quality.embedding_compat(v, meta, "minilm", 64)
+
+
+# ------------------------------------------------------------------ ingest, clean, live
+def parsed_messages(spark, sf_dir):
+    return ingest.parse_messages(src.messages(spark, sf_dir))
+
+
+BRONZE_OUT = ("ticker", "trade_date", "open", "high", "low", "close", "adj_close", "volume", "year", "month")
+
+
+@query("bronze_valid")
+def q_bronze_valid(spark, sf_dir):
+    valid, _ = cl.split_valid_dead(parsed_messages(spark, sf_dir))
+    return valid.select(*BRONZE_OUT)
+
+
+@query("dead_letters")
+def q_dead_letters(spark, sf_dir):
+    _, dead = cl.split_valid_dead(parsed_messages(spark, sf_dir))
+    return dead.select("ticker", "trade_date", "close")
+
+
+def spool_messages(spark, sf_dir):
+    """Write the message fixture as text files under the shared checkpoint
+    folder (the file-source form of the price topic); returns the folder."""
+    import uuid
+    from ticklake.session import scratch_path
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    src.messages(spark, sf_dir).select("value").write.mode("overwrite").text(base + "/in")
+    return base
+
+
+@query("stream_bronze")
+def q_stream_bronze(spark, sf_dir):
+    """The messages as text files -> availableNow stream -> bronze."""
+    base = spool_messages(spark, sf_dir)
+    ingest.bronze_backfill(spark, {"format": "text", "path": base + "/in", "max_files_per_trigger": 4},
+                           base + "/bronze", base + "/dead", base + "/ckpt")
+    return spark.read.parquet(base + "/bronze").select(*BRONZE_OUT)
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf_dir):
+    """Stateful de-duplication of (ticker, trade_date) in a bounded stream."""
+    base = spool_messages(spark, sf_dir)
+    ingest.dedupe_stream_to(spark, {"format": "text", "path": base + "/in"}, base + "/dedup", base + "/ckpt")
+    return spark.read.parquet(base + "/dedup")
+
+
+@query("market_hours")
+def q_market_hours(spark, sf_dir):
+    from ticklake.sources.tables import read_table
+    e = read_table(spark, sf_dir, "events", "event_id", "ts")
+    return e.filter(cl.in_market_hours("ts"))
+
+
+@query("statement_guard")
+def q_statement_guard(spark, sf_dir):
+    from ticklake.sources.tables import read_table
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_name")
+    k = F.pmod("p_partkey", F.lit(4))
+    stmt = (F.when(k == 0, F.concat(F.lit("SELECT * FROM "), "p_name"))
+             .when(k == 1, F.concat(F.lit("drop table "), "p_name"))
+             .when(k == 2, F.concat(F.lit("SELECT updated -- "), "p_name"))
+             .otherwise(F.concat(F.lit("WITH "), "p_name")))
+    return cl.classify_statements(p.select("p_partkey", stmt.alias("statement")))
+
+
+@query("quote_metrics")
+def q_quote_metrics(spark, sf_dir):
+    last = views.latest_bars(prices(spark, sf_dir))
+    dash = F.pmod("symbol", F.lit(5)) == 0
+    doc = F.to_json(F.struct(
+        F.struct(F.when(dash, F.lit("-")).otherwise(F.col("close_price").cast("string")).alias("lastPrice"),
+                 F.col("open_price").cast("string").alias("open"),
+                 F.col("low_price").cast("string").alias("previousClose"),
+                 F.struct(F.col("high_52w").cast("string").alias("max"),
+                          F.col("low_52w").cast("string").alias("min")).alias("weekHighLow")).alias("priceInfo"),
+        F.struct(F.lit("").alias("pdSymbolPe"), F.lit("-").alias("pdSectorPe")).alias("metadata"),
+        F.struct(F.col("volume").cast("string").alias("issuedSize")).alias("securityInfo")))
+    q = last.select("symbol", F.col("trade_date").alias("report_period"), doc.alias("quote_json"))
+    return src.quote_json_to_metrics(q)
+
+
+def summary_frame(spark, sf_dir):
+    latest = views.latest_bars(prices(spark, sf_dir))
+    fund = dims.promote_fundamentals(fx.fundamentals(spark, sf_dir))
+    return earnings.stock_summary(latest, fund)
+
+
+@query("live_overlay")
+def q_live_overlay(spark, sf_dir):
+    return live.overlay_live(summary_frame(spark, sf_dir), live.quotes_from_bars(fx.bars(spark, sf_dir)), "price")
+
+
+@query("live_overlay_insights")
+def q_live_overlay_insights(spark, sf_dir):
+    return live.overlay_live(summary_frame(spark, sf_dir), live.quotes_from_bars(fx.bars(spark, sf_dir)),
+                             "insights")
+
+
+@query("append_live_bar")
+def q_append_live_bar(spark, sf_dir):
+    p = prices(spark, sf_dir)
+    today = p.agg(F.date_add(F.max("trade_date"), 1)).first()[0]
+    return live.append_live_bar(p, live.quotes_from_bars(fx.bars(spark, sf_dir)), today)
+
+
+@query("summary_labels")
+def q_summary_labels(spark, sf_dir):
+    s = summary_frame(spark, sf_dir)
+    return s.select("symbol", lb.rsi_label("rsi_14").alias("rsi_label"),
+                    lb.position_label("normalised_close").alias("position_label"),
+                    lb.valuation_label("trailing_pe").alias("valuation_label"),
+                    lb.momentum_label("close_price", "fifty_two_week_high", "fifty_two_week_low").alias("momentum"),
+                    F.round(lb.range_position("close_price", "fifty_two_week_high", "fifty_two_week_low") + TIE_EPS, 6)
+                    .alias("range_position"),
+                    lb.sma_gap("close_price", "sma_20")["direction"].alias("sma_direction"),
+                    lb.bar_direction(F.col("close_price"), F.col("close_price"), F.col("daily_return"))["return_up"]
+                    .alias("return_up"))
+
+
+@query("merge_prices")
+def q_merge_prices(spark, sf_dir):
+    """yesterday's bars (all but the last 30 days) merged with a feed of
+    net-price bars for the last 60 days (30 days overlap, 30 days new)."""
+    b = fx.bars(spark, sf_dir)
+    hi = b.agg(F.max("trade_date")).first()[0]
+    target = b.filter(F.col("trade_date") < F.date_sub(F.lit(hi), 30))
+    updates = fx.bars(spark, sf_dir, net=True).filter(F.col("trade_date") >= F.date_sub(F.lit(hi), 60))
+    return sinks.merge_upsert(target, updates, ["symbol", "trade_date"])
+
+
+@query("call_counter")
+def q_call_counter(spark, sf_dir):
+    """Per-user counter of clicks incremented by the day's views."""
+    from ticklake.sources.tables import read_table
+    e = read_table(spark, sf_dir, "events", "user_id", "event_type")
+    clicks = e.filter(F.col("event_type") == "click").groupBy("user_id").agg(F.count(F.lit(1)).alias("count"))
+    views_ = e.filter(F.col("event_type") == "view").groupBy("user_id").agg(F.count(F.lit(1)).alias("count"))
+    return sinks.upsert_increment(clicks, views_, ["user_id"], "count")

@@ -25,9 +25,9 @@ CALLS_PER_ARTICLE = 2
 def _ts(x) -> Column:
     if isinstance(x, Column):
         return x
-    if isinstance(x, str):
-        x = _dt.datetime.fromisoformat(x)
-    return F.lit(x).cast("timestamp_ntz")
+    if isinstance(x, (_dt.datetime, _dt.date)):
+        x = x.isoformat(sep=" ") if isinstance(x, _dt.datetime) else x.isoformat()
+    return F.lit(str(x)).cast("timestamp_ntz")
 
 
 def article_order() -> list[Column]:
@@ -141,9 +141,9 @@ def enrich_news(bronze: DataFrame, silver: DataFrame, scores: DataFrame,
     in as ``scores`` (content_hash, summary, sentiment_score); silver is
     updated with A11 (new value only when non-NULL)."""
     pending = enrichment_batch(unenriched_news(bronze, silver), per_symbol)
-    batch = pending.withColumn("text", F.coalesce(F.nullif(F.col("raw_body"), F.lit("")), F.col("headline")))
-    scored = batch.join(scores, "content_hash", "left").select(
-        "content_hash", "symbol", "headline", "source", "published_at", "url",
-        F.coalesce(scores["summary"], F.lit(None).cast("string")).alias("summary"),
-        scores["sentiment_score"].alias("sentiment_score"))
+    batch = (pending.withColumn("text", F.coalesce(F.nullif(F.col("raw_body"), F.lit("")), F.col("headline")))
+                    .drop("summary", "sentiment_score"))
+    sc = scores.select("content_hash", "summary", "sentiment_score")
+    scored = batch.join(sc, "content_hash", "left").select(
+        "content_hash", "symbol", "headline", "source", "published_at", "url", "summary", "sentiment_score")
     return upsert_coalesce(silver, scored, ["content_hash"], ["summary", "sentiment_score"])

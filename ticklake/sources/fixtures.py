@@ -33,7 +33,7 @@ def _bar_order() -> Column:
     return F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bars(spark: SparkSession, sf_dir: str, net: bool = False) -> DataFrame:
     """Daily OHLCV bars, one per (symbol = l_suppkey, trade_date = ship day).
 
     A plain hash aggregate: partial aggregation runs before the shuffle, so
@@ -42,12 +42,18 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
                     "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
     o = _bar_order()
+    if net:  # net-of-discount prices (a second feed with the same keys)
+        li = (read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                         "l_extendedprice", "l_discount", "l_quantity", "l_shipdate")
+              .withColumn("l_price", F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))))
+    else:
+        li = li.withColumn("l_price", F.col("l_extendedprice"))
     return (li.groupBy(F.col("l_suppkey").alias("symbol"),
                        F.to_date("l_shipdate").alias("trade_date"))
-              .agg(F.min_by("l_extendedprice", o).alias("open_price"),
-                   F.max("l_extendedprice").alias("high_price"),
-                   F.min("l_extendedprice").alias("low_price"),
-                   F.max_by("l_extendedprice", o).alias("close_price"),
+              .agg(F.min_by("l_price", o).alias("open_price"),
+                   F.max("l_price").alias("high_price"),
+                   F.min("l_price").alias("low_price"),
+                   F.max_by("l_price", o).alias("close_price"),
                    F.sum("l_quantity").cast("bigint").alias("volume")))
 
 

@@ -66,6 +66,20 @@ def dedupe_messages(parsed: DataFrame, keys=("ticker", "trade_date"), event_time
                     watermark: str = WATERMARK) -> DataFrame:
     """Drop repeated (ticker, trade_date) messages within the watermark
     (stateful in a stream; plain de-duplication on a batch frame)."""
+    if not parsed.isStreaming:
+        return parsed.dropDuplicates(list(keys))
     return (parsed.withColumn(event_time, F.col(event_time).cast("timestamp"))
                   .withWatermark(event_time, watermark)
                   .dropDuplicatesWithinWatermark(list(keys)))
+
+
+def dedupe_stream_to(spark: SparkSession, source: dict, path: str, checkpoint: str,
+                     keys=("ticker", "trade_date")) -> None:
+    """I3 as a bounded stream: valid messages de-duplicated on ``keys`` and
+    appended to ``path`` (parquet)."""
+    parsed = parse_messages(read_price_stream(spark, source))
+    valid, _ = split_valid_dead(parsed)
+    out = dedupe_messages(valid, keys).select(*keys)
+    q = (out.writeStream.format("parquet").outputMode("append").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
