@@ -52,10 +52,13 @@ def recent_dates(df: DataFrame, n: int, date: str = "trade_date") -> DataFrame:
     return df.select(date).distinct().orderBy(F.col(date).desc()).limit(n)
 
 
-def restrict_to_recent_dates(df: DataFrame, n: int, date: str = "trade_date") -> DataFrame:
-    """Keep rows whose date is among the n newest.
+def restrict_to_recent_dates(df: DataFrame, n: int, date: str = "trade_date",
+                             calendar: DataFrame | None = None) -> DataFrame:
+    """Keep rows whose date is among the n newest (of ``calendar`` when
+    given, which must hold the same dates as ``df``).
 
     The date list has at most n rows, so broadcasting it is size-bounded;
     a left-semi join never adds columns or duplicates.
     """
-    return df.join(F.broadcast(recent_dates(df, n, date)), date, "left_semi")
+    dates = recent_dates(calendar if calendar is not None else df, n, date)
+    return df.join(F.broadcast(dates), date, "left_semi")

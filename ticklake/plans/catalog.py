@@ -28,9 +28,22 @@ def query(name: str):
     return deco
 
 
+def clean_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ind.clean_bars(fx.bars(spark, sf_dir))
+
+
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver prices: bars -> B5 clean -> E12 enrich."""
-    return ind.enrich_bars(ind.clean_bars(fx.bars(spark, sf_dir)), eps=TIE_EPS)
+    return ind.enrich_bars(clean_bars(spark, sf_dir), eps=TIE_EPS)
+
+
+def price_facts_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver columns the star facts carry (bars + E1 daily return).
+
+    Facts and integrity checks need no indicator beyond the return, so they
+    skip the grouped-map step entirely.
+    """
+    return ind.with_daily_return(clean_bars(spark, sf_dir), eps=TIE_EPS)
 
 
 @query("daily_bars")
@@ -69,7 +82,7 @@ def dim_date(spark, sf_dir):
 
 
 def fact_prices(spark, sf_dir):
-    return dims.load_fact_prices(prices(spark, sf_dir), dim_companies(spark, sf_dir))
+    return dims.load_fact_prices(price_facts_input(spark, sf_dir), dim_companies(spark, sf_dir))
 
 
 @query("latest_bars")
@@ -84,12 +97,13 @@ def q_rsi_simple(spark, sf_dir):
 
 @query("sector_momentum")
 def q_sector_momentum(spark, sf_dir):
-    return views.sector_momentum(prices(spark, sf_dir), dim_companies(spark, sf_dir), eps=TIE_EPS)
+    return views.sector_momentum(prices(spark, sf_dir), dim_companies(spark, sf_dir), eps=TIE_EPS,
+                                 calendar=clean_bars(spark, sf_dir))
 
 
 @query("portfolio_risk")
 def q_portfolio_risk(spark, sf_dir):
-    return views.portfolio_risk(prices(spark, sf_dir), eps=TIE_EPS)
+    return views.portfolio_risk(prices(spark, sf_dir), eps=TIE_EPS, calendar=clean_bars(spark, sf_dir))
 
 
 @query("market_proxy")
@@ -131,7 +145,7 @@ def q_fact_prices(spark, sf_dir):
 @query("integrity_report")
 def q_integrity_report(spark, sf_dir):
     return quality.integrity_report(fact_prices(spark, sf_dir), dim_companies(spark, sf_dir),
-                                    dim_date(spark, sf_dir), prices(spark, sf_dir))
+                                    dim_date(spark, sf_dir), clean_bars(spark, sf_dir))
 
 
 @query("table_health")
@@ -140,7 +154,7 @@ def q_table_health(spark, sf_dir):
         "gold.dim_date": dim_date(spark, sf_dir),
         "gold.dim_companies": dim_companies(spark, sf_dir),
         "gold.fact_prices": fact_prices(spark, sf_dir),
-        "silver.prices": prices(spark, sf_dir),
+        "silver.prices": clean_bars(spark, sf_dir),
         "silver.news": fx.news(spark, sf_dir)})
 
 

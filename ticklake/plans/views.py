@@ -56,9 +56,14 @@ def join_current_dim(facts: DataFrame, dim: DataFrame, cols=("sector",)) -> Data
 
 
 def sector_momentum(prices: DataFrame, dim: DataFrame, eps: float = 0.0,
-                    n_dates: int = RECENT_DATES) -> DataFrame:
-    """D3: per (sector, date) over the n newest dates."""
-    p = restrict_to_recent_dates(prices, n_dates)
+                    n_dates: int = RECENT_DATES, calendar: DataFrame | None = None) -> DataFrame:
+    """D3: per (sector, date) over the n newest dates.
+
+    ``calendar`` (any frame with the same trade dates, e.g. the cleaned bars
+    the prices were computed from) lets the date list come from a cheap scan
+    instead of a second evaluation of the indicator plan.
+    """
+    p = restrict_to_recent_dates(prices, n_dates, calendar=calendar)
     j = join_current_dim(p, dim).filter(F.col("sector").isNotNull())
     r = F.col("daily_return")
     return j.groupBy("sector", "trade_date").agg(
@@ -82,15 +87,16 @@ def market_proxy(prices: DataFrame, n_dates: int | None = RECENT_DATES) -> DataF
     return p.groupBy("trade_date").agg(F.avg("log_return").alias("market_log_return"))
 
 
-def portfolio_risk(prices: DataFrame, eps: float = 0.0, n_dates: int = RECENT_DATES) -> DataFrame:
+def portfolio_risk(prices: DataFrame, eps: float = 0.0, n_dates: int = RECENT_DATES,
+                   calendar: DataFrame | None = None) -> DataFrame:
     """20-day annualised volatility, beta against the equal-weight market
     and a Sharpe proxy, for symbols with at least 5 observations.
 
-    The market series has at most ``n_dates`` rows, so it is broadcast.
+    The market proxy (D6) is a window average per date over the restricted
+    rows, so the prices are consumed once; then one aggregate per symbol.
     """
-    p = restrict_to_recent_dates(prices, n_dates).filter(F.col("log_return").isNotNull())
-    m = p.groupBy("trade_date").agg(F.avg("log_return").alias("market_log_return"))
-    j = p.join(F.broadcast(m), "trade_date")
+    p = restrict_to_recent_dates(prices, n_dates, calendar=calendar).filter(F.col("log_return").isNotNull())
+    j = p.withColumn("market_log_return", F.avg("log_return").over(Window.partitionBy("trade_date")))
     lr, mr = F.col("log_return"), F.col("market_log_return")
     s = j.groupBy("symbol").agg(
         F.count(lr).alias("obs_count"),
