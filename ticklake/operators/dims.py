@@ -27,10 +27,14 @@ def _lit_date(d) -> Column:
     return F.lit(d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d)))
 
 
-def empty_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "company_key bigint, symbol bigint, company_name string, sector string, "
-                                     "industry string, exchange string, version int, is_current boolean, "
-                                     "effective_from date, effective_to date")
+def empty_dim(spark: SparkSession, symbol_type: str = "bigint") -> DataFrame:
+    """An empty dimension.  Built from ``range(0)`` so the optimizer knows it
+    is empty (a local relation from an empty list has unknown size, which
+    would make the *other* side of a join look like the broadcast candidate)."""
+    cols = {"company_key": "bigint", "symbol": symbol_type, "company_name": "string", "sector": "string",
+            "industry": "string", "exchange": "string", "version": "int", "is_current": "boolean",
+            "effective_from": "date", "effective_to": "date"}
+    return spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in cols.items()])
 
 
 def scd2_upsert(dim: DataFrame, updates: DataFrame, as_of, key: str = "symbol",
@@ -99,25 +103,28 @@ def load_fact_prices(prices: DataFrame, dim: DataFrame) -> DataFrame:
     """fact_prices with date_key (H18) and the company version in force
     on the trade date (SCD2 as-of join: equi-join on symbol plus a range
     predicate over that symbol's few versions)."""
-    d = dim.select("symbol", "company_key", "effective_from", "effective_to")
+    d = dim.select("symbol", "company_key", F.col("version").alias("company_version"),
+                   "effective_from", "effective_to")
     j = prices.join(d, "symbol").filter(
         (F.col("trade_date") >= F.col("effective_from")) &
         (F.col("trade_date") <= F.coalesce(F.col("effective_to"), F.lit(OPEN_END).cast("date"))))
     date_key = F.date_format("trade_date", "yyyyMMdd").cast("int")
     return j.select(F.xxhash64(date_key, F.col("company_key")).alias("price_key"),
-                    date_key.alias("date_key"), "company_key", "symbol", "trade_date",
+                    date_key.alias("date_key"), "company_key", "company_version", "symbol", "trade_date",
                     "open_price", "high_price", "low_price", "close_price", "adj_close_price",
                     "volume", "daily_return")
 
 
 def load_fact_fundamentals(fund: DataFrame, dim: DataFrame) -> DataFrame:
     """fact_fundamentals keyed by (date_key of the report period, company_key, metric)."""
-    d = dim.select("symbol", "company_key", "effective_from", "effective_to")
+    d = dim.select("symbol", "company_key", F.col("version").alias("company_version"),
+                   "effective_from", "effective_to")
     j = fund.join(d, "symbol").filter(
         (F.col("report_period") >= F.col("effective_from")) &
         (F.col("report_period") <= F.coalesce(F.col("effective_to"), F.lit(OPEN_END).cast("date"))))
     date_key = F.date_format("report_period", "yyyyMMdd").cast("int")
-    return j.select(date_key.alias("date_key"), "company_key", "symbol", "metric_name", "metric_value")
+    return j.select(date_key.alias("date_key"), "company_key", "company_version", "symbol", "metric_name",
+                    "metric_value")
 
 
 def promote_fundamentals(raw: DataFrame) -> DataFrame:

@@ -137,9 +137,7 @@ def q_dim_date(spark, sf_dir):
 
 @query("fact_prices")
 def q_fact_prices(spark, sf_dir):
-    d = dim_companies(spark, sf_dir).select("company_key", F.col("version").alias("company_version"))
-    f = fact_prices(spark, sf_dir)
-    return f.join(d, "company_key").drop("price_key", "company_key")
+    return fact_prices(spark, sf_dir).drop("price_key", "company_key")
 
 
 @query("integrity_report")
@@ -188,10 +186,8 @@ def q_promote_fundamentals(spark, sf_dir):
 
 @query("fact_fundamentals")
 def q_fact_fundamentals(spark, sf_dir):
-    d = dim_companies(spark, sf_dir)
-    f = dims.load_fact_fundamentals(fx.fundamentals(spark, sf_dir), d)
-    return f.join(d.select("company_key", F.col("version").alias("company_version")), "company_key") \
-            .drop("company_key")
+    f = dims.load_fact_fundamentals(fx.fundamentals(spark, sf_dir), dim_companies(spark, sf_dir))
+    return f.drop("company_key")
 
 
 @query("stock_summary")
