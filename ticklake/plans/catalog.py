@@ -519,3 +519,126 @@ def q_call_counter(spark, sf_dir):
     clicks = e.filter(F.col("event_type") == "click").groupBy("user_id").agg(F.count(F.lit(1)).alias("count"))
     views_ = e.filter(F.col("event_type") == "view").groupBy("user_id").agg(F.count(F.lit(1)).alias("count"))
     return sinks.upsert_increment(clicks, views_, ["user_id"], "count")
+
+
+# ------------------------------------------------------------------ more sources, reports, facts
+SUMMARY_PRICE_COLS = ("as_of_date", "close_price", "daily_return", "normalised_close", "sma_20", "sma_50", "rsi_14")
+SUMMARY_FUND_COLS = tuple(earnings.SUMMARY_METRICS)
+
+
+@query("summary_upsert")
+def q_summary_upsert(spark, sf_dir):
+    """yesterday's gold summary (bars up to 30 days before the newest
+    date) upserted with today's: price columns replaced, fundamentals only
+    where today's value is present (today's feed lacks the P/E metric).
+
+    Both snapshots come from one grouped aggregate over the prices (two
+    ``max_by``), so the indicator plan runs once."""
+    from ticklake.sources.tables import read_table  # noqa: F401
+    p = prices(spark, sf_dir)
+    hi = clean_bars(spark, sf_dir).agg(F.max("trade_date")).first()[0]
+    cutoff = F.date_sub(F.lit(hi), 30)
+    cols = [c for c in p.columns if c != "symbol"]
+    row = F.struct(*cols)
+    early = F.col("trade_date") < cutoff
+    both = p.groupBy("symbol").agg(F.max_by(row, "trade_date").alias("new"),
+                                   F.max_by(F.when(early, row), F.when(early, F.col("trade_date"))).alias("old"))
+    fund = dims.promote_fundamentals(fx.fundamentals(spark, sf_dir))
+    old = earnings.stock_summary(both.filter(F.col("old").isNotNull()).select("symbol", "old.*"), fund)
+    new = earnings.stock_summary(both.select("symbol", "new.*"), fund.filter(F.col("metric_name") != "pe"))
+    return sinks.upsert_gold_summary(old, new, "symbol", SUMMARY_PRICE_COLS, SUMMARY_FUND_COLS)
+
+
+@query("history_plus_today")
+def q_history_plus_today(spark, sf_dir):
+    """History clipped before the newest day plus today's bar from the
+    net-price feed."""
+    b = fx.bars(spark, sf_dir)
+    hi = b.agg(F.max("trade_date")).first()[0]
+    today = fx.bars(spark, sf_dir, net=True).filter(F.col("trade_date") == F.lit(hi))
+    return src.history_plus_today(b, today, hi)
+
+
+@query("normalise_ohlcv")
+def q_normalise_ohlcv(spark, sf_dir):
+    """A vendor-shaped frame (Date / Open / High / Low / Close / Volume,
+    no Adj Close) normalised to the bronze bar columns."""
+    b = fx.bars(spark, sf_dir)
+    vendor = b.select("symbol", F.date_format("trade_date", "yyyy-MM-dd").alias("Date"),
+                      F.col("open_price").alias("Open"), F.col("high_price").alias("High"),
+                      F.col("low_price").alias("Low"), F.col("close_price").alias("Close"),
+                      F.col("volume").alias("Volume"))
+    return src.normalise_ohlcv(vendor, keep=("symbol",))
+
+
+@query("report_metrics")
+def q_report_metrics(spark, sf_dir):
+    """C9 (+F9): earnings reports, newest first, with summary metrics attached."""
+    rep = earnings.earnings_report(fx.fundamentals(spark, sf_dir))
+    out = earnings.attach_metrics(rep.select("ticker", "report_date", "sentiment_score"), summary_frame(spark, sf_dir))
+    return earnings.report_list(out.select("ticker", "report_date", "sentiment_score", "close_price", "rsi_14",
+                                           "market_cap"))
+
+
+@query("report_stats")
+def q_report_stats(spark, sf_dir):
+    """D11 over the earnings reports (created_at = report date here)."""
+    rep = earnings.earnings_report(fx.fundamentals(spark, sf_dir)).withColumn("created_at", F.col("report_date"))
+    return quality.report_stats(rep)
+
+
+@query("symbol_list")
+def q_symbol_list(spark, sf_dir):
+    return quality.symbol_list(clean_bars(spark, sf_dir))
+
+
+@query("price_history")
+def q_price_history(spark, sf_dir):
+    """F6 (B7 + B8): the last 30 days of bars for one sector's companies."""
+    p = prices(spark, sf_dir)
+    hi = clean_bars(spark, sf_dir).agg(F.max("trade_date")).first()[0]
+    asia = dim_companies(spark, sf_dir).filter(F.col("is_current") & (F.col("sector") == "ASIA")).select("symbol")
+    return views.price_history(p, asia, hi, 30).select("symbol", "trade_date", "close_price", "sma_20", "rsi_14")
+
+
+@query("run_audit")
+def q_run_audit(spark, sf_dir):
+    """Build the daily bars with observed row counts and return the
+    audit record (task, run_date, status, rows read, rows written)."""
+    from ticklake.sources.tables import read_table
+    li, obs_read = quality.run_audit(read_table(spark, sf_dir, "lineitem"), "read", None, "lineitem_read")
+    out, obs_written = quality.run_audit(fx.bars(spark, sf_dir, lineitem=li), "write", None, "bars_written")
+    bounds = out.agg(F.max("trade_date").alias("d")).first()   # the action; both observations fill
+    return quality.audit_row(spark, "daily_bars", bounds["d"], "success", obs_read.get["rows"],
+                             obs_written.get["rows"]).drop("recorded_at")
+
+
+def _news_company(df):
+    """News sources are named 'src<N>': company N of the dimension."""
+    return df.withColumn("symbol", F.regexp_extract("symbol", r"(\d+)$", 1).cast("bigint"))
+
+
+@query("fact_news_sentiment")
+def q_fact_news_sentiment(spark, sf_dir):
+    """News sentiment facts keyed by day and the company version in force."""
+    n = _news_company(tx.dedupe_news(fx.news(spark, sf_dir)))
+    d = dim_companies(spark, sf_dir).select("symbol", F.col("version").alias("company_version"),
+                                            "effective_from", "effective_to")
+    day = F.to_date("published_at")
+    j = n.join(d, "symbol").filter((day >= F.col("effective_from")) &
+                                   (day <= F.coalesce(F.col("effective_to"), F.lit(dims.OPEN_END).cast("date"))))
+    return j.select(F.date_format(day, "yyyyMMdd").cast("int").alias("date_key"), "company_version", "symbol",
+                    "content_hash", "headline", "summary", "sentiment_score")
+
+
+@query("vector_upsert")
+def q_vector_upsert(spark, sf_dir):
+    """The vector store after yesterday's load (articles before the
+    midpoint of the news span) is upserted with all of today's records."""
+    n = tx.dedupe_news(fx.news(spark, sf_dir))
+    vec = fx.vectors(spark, sf_dir).select(F.col("vec_id").alias("doc_id"), "embedding")
+    b = n.agg(F.min("published_at").alias("lo"), F.max("published_at").alias("hi")).first()
+    mid = b["lo"] + (b["hi"] - b["lo"]) / 2
+    store = nw.vector_records(n.filter(F.col("published_at") < nw._ts(mid)), vec)
+    out = nw.vector_upsert(store, nw.vector_records(n, vec))
+    return out.select("id", "document", "metadata.*", F.size("embedding").alias("dims"))

@@ -33,14 +33,14 @@ def _bar_order() -> Column:
     return F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
-def bars(spark: SparkSession, sf_dir: str, net: bool = False) -> DataFrame:
+def bars(spark: SparkSession, sf_dir: str, net: bool = False, lineitem: DataFrame | None = None) -> DataFrame:
     """Daily OHLCV bars, one per (symbol = l_suppkey, trade_date = ship day).
 
     A plain hash aggregate: partial aggregation runs before the shuffle, so
     a hot supplier costs one partial row per input partition, not a hot task.
     """
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
-                    "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
+    cols = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
+    li = lineitem.select(*cols) if lineitem is not None else read_table(spark, sf_dir, "lineitem", *cols)
     o = _bar_order()
     if net:  # net-of-discount prices (a second feed with the same keys)
         li = (read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",

@@ -62,7 +62,7 @@ def read_bronze_prices(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in BRONZE_PRICE_COLUMNS.items()])
 
 
-def normalise_ohlcv(df: DataFrame, date_col: str = "Date") -> DataFrame:
+def normalise_ohlcv(df: DataFrame, date_col: str = "Date", keep=()) -> DataFrame:
     """Vendor OHLCV frame -> (trade_date, open, high, low, close,
     adj_close, volume).  Renames the date column, casts it to date, fills
     ``adj_close`` from ``close`` when missing and turns NaN into NULL."""
@@ -71,6 +71,7 @@ def normalise_ohlcv(df: DataFrame, date_col: str = "Date") -> DataFrame:
         return F.when(~F.isnan(x), x)
     adj = num("Adj Close") if "Adj Close" in df.columns else F.lit(None).cast("double")
     out = df.select(
+        *keep,
         F.to_date(F.col(f"`{date_col}`")).alias("trade_date"),
         num("Open").alias("open"), num("High").alias("high"), num("Low").alias("low"),
         num("Close").alias("close"), F.coalesce(adj, num("Close")).alias("adj_close"),
