@@ -139,38 +139,51 @@ def contract_report(df: DataFrame, table: str, *, not_null: Sequence[str] = (),
                     unique: Sequence[Sequence[str]] = (), checks: dict[str, Column] | None = None,
                     max_length: dict[str, int] | None = None,
                     foreign_keys: Sequence[tuple[str, DataFrame, str]] = ()) -> DataFrame:
-    """K9: one row per rule (table, rule, violations).
+    """K9: one row per rule (table, rule, violations), from one pass over ``df``.
 
-    NOT NULL, CHECK and length rules are evaluated in one aggregate pass
-    (``count_if``); each UNIQUE key is a grouped count of duplicate rows
-    (partial aggregation before the shuffle); each FK is a left-anti join.
+    Foreign keys are resolved first with left joins against the distinct
+    referenced keys (small sides are broadcast by AQE after measurement);
+    then NOT NULL, CHECK, length and FK flags are summed per UNIQUE key in a
+    grouped aggregate (partial aggregation before the shuffle), and a final
+    global aggregate adds them up together with the duplicate-row counts.
     """
     checks = checks or {}
     max_length = max_length or {}
-    exprs = []
+    x = df
+    rules: list[tuple[str, Column]] = []
     for c in not_null:
-        exprs.append((f"not_null:{c}", F.count_if(F.col(c).isNull())))
+        rules.append((f"not_null:{c}", F.col(c).isNull()))
     for name, cond in checks.items():
-        exprs.append((f"check:{name}", F.count_if(~F.coalesce(cond, F.lit(True)))))
+        rules.append((f"check:{name}", ~F.coalesce(cond, F.lit(True))))
     for c, n in max_length.items():
-        exprs.append((f"max_length:{c}", F.count_if(F.length(F.col(c)) > n)))
-    parts = []
-    if exprs:
-        one = df.agg(*[e.alias(f"_{i}") for i, (_, e) in enumerate(exprs)])
-        stack = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"_{i}").alias("violations"))
-                                    for i, (r, _) in enumerate(exprs)]))
-        parts.append(one.select(stack.alias("s")).select("s.rule", "s.violations"))
-    for key in unique:
+        rules.append((f"max_length:{c}", F.coalesce(F.length(F.col(c)) > n, F.lit(False))))
+    for i, (col, ref, ref_col) in enumerate(foreign_keys):
+        keys = ref.select(F.col(ref_col).alias(col)).distinct().withColumn(f"_fk{i}", F.lit(True))
+        x = x.join(keys, col, "left")
+        rules.append((f"fk:{col}", F.col(col).isNotNull() & F.col(f"_fk{i}").isNull()))
+    flags = [F.sum(F.when(cond, 1).otherwise(0)).alias(f"_v{i}") for i, (_, cond) in enumerate(rules)]
+    totals = []
+    if unique:
+        key = list(unique[0])
+        g = x.groupBy(*key).agg(F.count(F.lit(1)).alias("_c"), *flags)
+        totals = [F.coalesce(F.sum(f"_v{i}"), F.lit(0)).alias(f"_v{i}") for i in range(len(rules))]
+        totals.append(F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c") - 1)), F.lit(0)).alias("_dup0"))
+        one = g.agg(*totals)
+        names = [r for r, _ in rules] + ["unique:" + ",".join(key)]
+        cols = [f"_v{i}" for i in range(len(rules))] + ["_dup0"]
+    else:
+        one = x.agg(*[F.coalesce(f, F.lit(0)).alias(f"_v{i}") for i, f in enumerate(flags)])
+        names = [r for r, _ in rules]
+        cols = [f"_v{i}" for i in range(len(rules))]
+    stack = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(c).cast("bigint").alias("violations"))
+                                for r, c in zip(names, cols)]))
+    out = one.select(stack.alias("s")).select("s.rule", "s.violations")
+    for key in unique[1:]:
         key = list(key)
         dup = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > 1)
-                 .agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("violations")))
-        parts.append(dup.select(F.lit("unique:" + ",".join(key)).alias("rule"), "violations"))
-    for col, ref, ref_col in foreign_keys:
-        orphans = orphan_rows(df.filter(F.col(col).isNotNull()), ref, col, ref_col)
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("violations"))
-                     .select(F.lit(f"fk:{col}").alias("rule"), "violations"))
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select(F.lit(table).alias("table_name"), "rule", F.col("violations").cast("bigint"))
+                 .agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("bigint").alias("violations")))
+        out = out.unionByName(dup.select(F.lit("unique:" + ",".join(key)).alias("rule"), "violations"))
+    return out.select(F.lit(table).alias("table_name"), "rule", "violations")
 
 
 def run_audit(df: DataFrame, task: str, run_date, name: str = "audit"):

@@ -72,9 +72,14 @@ UPDATE_LOAD = "1998-01-01"     # fixed: second dimension load
 
 
 def dim_companies(spark, sf_dir):
-    """K1 applied twice: initial load, then the later company snapshot."""
+    """K1 applied twice: initial load, then the later company snapshot.
+
+    The dimension is a stored table in the pipeline (one row per company
+    version); it is checkpointed into the shared folder so that queries
+    reading it several times scan it instead of re-deriving it."""
+    from ticklake.session import materialize
     d0 = dims.scd2_upsert(dims.empty_dim(spark), fx.companies(spark, sf_dir), INITIAL_LOAD)
-    return dims.scd2_upsert(d0, fx.company_updates(spark, sf_dir), UPDATE_LOAD)
+    return materialize(dims.scd2_upsert(d0, fx.company_updates(spark, sf_dir), UPDATE_LOAD))
 
 
 def dim_date(spark, sf_dir):
@@ -171,7 +176,7 @@ def q_price_contract(spark, sf_dir):
 
 @query("date_bounds")
 def q_date_bounds(spark, sf_dir):
-    return quality.date_bounds(prices(spark, sf_dir))
+    return quality.date_bounds(clean_bars(spark, sf_dir))   # silver has exactly the clean bars' rows
 
 
 @query("fundamentals_eav")
@@ -541,8 +546,10 @@ def q_summary_upsert(spark, sf_dir):
     cols = [c for c in p.columns if c != "symbol"]
     row = F.struct(*cols)
     early = F.col("trade_date") < cutoff
-    both = p.groupBy("symbol").agg(F.max_by(row, "trade_date").alias("new"),
-                                   F.max_by(F.when(early, row), F.when(early, F.col("trade_date"))).alias("old"))
+    from ticklake.session import materialize
+    both = materialize(p.groupBy("symbol").agg(
+        F.max_by(row, "trade_date").alias("new"),
+        F.max_by(F.when(early, row), F.when(early, F.col("trade_date"))).alias("old")))
     fund = dims.promote_fundamentals(fx.fundamentals(spark, sf_dir))
     old = earnings.stock_summary(both.filter(F.col("old").isNotNull()).select("symbol", "old.*"), fund)
     new = earnings.stock_summary(both.select("symbol", "new.*"), fund.filter(F.col("metric_name") != "pe"))

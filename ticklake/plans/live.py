@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticklake.functions.labels import pct_change
@@ -61,15 +61,29 @@ def append_live_bar(history: DataFrame, quotes: DataFrame, today) -> DataFrame:
     """Add today's bar from the live quote when the symbol's last bar is
     older than today: open = previous close (else the last close), high/low =
     max/min(open, live), volume 0, indicators NULL, daily_return =
-    coalesce(change_pct, 0) / 100, is_outlier false."""
+    coalesce(change_pct, 0) / 100, is_outlier false.
+
+    One pass over ``history``: a window marks each symbol's last row, the
+    quotes (one row per symbol) are joined on, and ``explode`` emits the row
+    itself plus, on a qualifying last row, the new bar.
+    """
     today_c = today if isinstance(today, Column) else F.lit(today).cast("date")
-    last = latest_per_key(history.select("symbol", "trade_date", "close_price"), ["symbol"], ["trade_date"])
-    j = last.join(quotes, "symbol").filter(_truthy(F.col("live_price")) & (F.col("trade_date") < today_c))
-    open_ = F.coalesce(F.nullif(F.col("prev_close"), F.lit(0.0)), F.col("close_price"))
-    new = j.select("symbol", today_c.alias("trade_date"), open_.alias("open_price"),
-                   F.greatest(open_, F.col("live_price")).alias("high_price"),
-                   F.least(open_, F.col("live_price")).alias("low_price"),
-                   F.col("live_price").alias("close_price"), F.lit(0).cast("bigint").alias("volume"),
-                   (F.coalesce(F.col("change_pct"), F.lit(0.0)) / 100.0).alias("daily_return"),
-                   F.lit(False).alias("is_outlier"))
-    return history.unionByName(new, allowMissingColumns=True)
+    w = Window.partitionBy("symbol")
+    q = quotes.select("symbol", F.col("live_price").alias("_live"), F.col("prev_close").alias("_prev"),
+                      F.col("change_pct").alias("_chg"))
+    h = (history.withColumn("_last", F.col("trade_date") == F.max("trade_date").over(w))
+                .join(q, "symbol", "left"))
+    add = F.col("_last") & _truthy(F.col("_live")) & (F.col("trade_date") < today_c)
+    open_ = F.coalesce(F.nullif(F.col("_prev"), F.lit(0.0)), F.col("close_price"))
+    cols = [c for c in history.columns]
+    new_vals = {
+        "trade_date": today_c, "open_price": open_, "high_price": F.greatest(open_, F.col("_live")),
+        "low_price": F.least(open_, F.col("_live")), "close_price": F.col("_live"),
+        "volume": F.lit(0).cast("bigint"),
+        "daily_return": F.coalesce(F.col("_chg"), F.lit(0.0)) / 100.0, "is_outlier": F.lit(False)}
+    types = dict(history.dtypes)
+    same = F.struct(*[F.col(c).alias(c) for c in cols])
+    bar = F.struct(*[(F.col(c) if c == "symbol" else new_vals.get(c, F.lit(None)).cast(types[c])).alias(c)
+                     for c in cols])
+    rows = F.filter(F.array(same, F.when(add, bar)), lambda r: r.isNotNull())
+    return h.select(F.explode(rows).alias("_r")).select("_r.*")

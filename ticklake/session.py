@@ -69,3 +69,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+def materialize(df):
+    """Cut lineage for a frame consumed more than once: a reliable
+    checkpoint into the shared ``spark.checkpoint.dir`` (survives executor
+    loss, unlike a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -78,7 +78,7 @@ def insert_ignore(target: DataFrame, rows: DataFrame, keys: Sequence[str],
 
 
 def _merge_columns(target: DataFrame, rows: DataFrame, keys: Sequence[str],
-                   cols: Sequence[str], mode: str) -> DataFrame:
+                   cols: Sequence[str], mode: str, coalesce_cols: Sequence[str] = ()) -> DataFrame:
     r = dedupe_on_keys(rows, keys).withColumn("_r", F.lit(True))
     t = target.withColumn("_t", F.lit(True))
     j = t.alias("t").join(r.alias("r"), list(keys), "full_outer")
@@ -90,7 +90,9 @@ def _merge_columns(target: DataFrame, rows: DataFrame, keys: Sequence[str],
             continue
         tc = F.col(f"t.{c}")
         rc = F.col(f"r.{c}") if c in rows.columns else F.lit(None).cast(target.schema[c].dataType)
-        if c in cols:
+        if c in coalesce_cols:
+            v = F.coalesce(rc, tc)
+        elif c in cols:
             if mode == "overwrite":
                 v = F.when(F.col("_r").isNotNull(), rc).otherwise(tc)
             else:
@@ -123,10 +125,7 @@ def upsert_gold_summary(target: DataFrame, rows: DataFrame, key: str = "symbol",
                         fundamental_cols: Sequence[str] = ()) -> DataFrame:
     """Price columns overwritten, fundamental columns kept unless a new
     non-NULL value arrives (COALESCE(new, old))."""
-    step = upsert_overwrite(target, rows, [key], price_cols)
-    if fundamental_cols:
-        step = upsert_coalesce(step, rows, [key], fundamental_cols)
-    return step
+    return _merge_columns(target, rows, [key], price_cols, "overwrite", fundamental_cols)
 
 
 def upsert_increment(target: DataFrame, deltas: DataFrame, keys: Sequence[str],
