@@ -71,9 +71,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
-def materialize(df):
-    """Cut lineage for a frame consumed more than once: a reliable
-    checkpoint into the shared ``spark.checkpoint.dir`` (survives executor
-    loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Cut lineage for a frame consumed more than once: write it as Parquet
+    under the shared ``spark.checkpoint.dir`` and read it back.
+
+    A written table survives executor loss (unlike a local checkpoint) and,
+    unlike ``Dataset.checkpoint`` without a cache, computes the frame once.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
