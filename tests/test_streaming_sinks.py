@@ -123,3 +123,18 @@ def test_sample_list_and_compat(spark):
     meta = spark.createDataFrame([("m", 2)], "model_name string, dimension int")
     c = quality.embedding_compat(vec, meta, "m", 2).first()
     assert c["compatible"] is False and c["bad_vectors"] == 1
+
+
+def test_two_query_sinks(spark):
+    """A3/A4: the reference's two-query form (one checkpoint per sink)."""
+    d = tempfile.mkdtemp(prefix="ticklake-2q-")
+    _spool(spark, d)
+    raw = src.read_price_stream(spark, {"format": "text", "path": d + "/in"})
+    valid, dead = cl.split_valid_dead(ingest.parse_messages(raw))
+    q1 = sinks.write_bronze_stream(valid, d + "/bronze", d + "/ck1", {"availableNow": True})
+    q2 = sinks.write_dead_letter_stream(dead, d + "/dead", d + "/ck2", {"availableNow": True})
+    q1.awaitTermination()
+    q2.awaitTermination()
+    batch_valid, batch_dead = cl.split_valid_dead(ingest.parse_messages(src.messages(spark, SF)))
+    assert spark.read.parquet(d + "/bronze").count() == batch_valid.count()
+    assert spark.read.parquet(d + "/dead").count() == batch_dead.count()

@@ -651,3 +651,10 @@ def q_vector_upsert(spark, sf_dir):
     store = nw.vector_records(n.filter(F.col("published_at") < nw._ts(mid)), vec)
     out = nw.vector_upsert(store, nw.vector_records(n, vec))
     return out.select("id", "document", "metadata.*", F.size("embedding").alias("dims"))
+
+
+@query("summary_snapshot")
+def q_summary_snapshot(spark, sf_dir):
+    """F8: the gold summary rows of one sector's current companies."""
+    europe = dim_companies(spark, sf_dir).filter(F.col("is_current") & (F.col("sector") == "EUROPE")).select("symbol")
+    return earnings.summary_snapshot(summary_frame(spark, sf_dir), europe)

@@ -55,7 +55,9 @@ def news_sentiment_7d(news: DataFrame, as_of, eps: float = 0.0) -> DataFrame:
         F.count_if(s > POSITIVE_CUT).alias("positive_count"),
         F.count_if(s < NEGATIVE_CUT).alias("negative_count"),
         F.min_by(F.struct("headline", "source", "published_at", "summary"),
-                 F.struct(F.col("published_at").isNull(), -F.unix_micros(F.col("published_at").cast("timestamp")),
+                 F.struct(F.col("published_at").isNull(),
+                          -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                            F.col("published_at")),
                           F.col("content_hash"))).alias("_l"))
     return agg.select(
         "symbol", "article_count_7d", "avg_sentiment_7d", "min_sentiment_7d", "max_sentiment_7d",
