@@ -78,14 +78,15 @@ def dim_companies(spark, sf_dir):
     version); it is checkpointed into the shared folder so that queries
     reading it several times scan it instead of re-deriving it."""
     from ticklake.session import materialize
-    d0 = dims.scd2_upsert(dims.empty_dim(spark), fx.companies(spark, sf_dir), INITIAL_LOAD)
-    return materialize(dims.scd2_upsert(d0, fx.company_updates(spark, sf_dir), UPDATE_LOAD))
+    comp = fx.companies(spark, sf_dir)
+    d0 = dims.scd2_upsert(dims.empty_dim(spark), comp, INITIAL_LOAD)
+    return materialize(dims.scd2_upsert(d0, fx.company_updates(spark, sf_dir, comp), UPDATE_LOAD), "dim_companies")
 
 
 def dim_date(spark, sf_dir):
     """K2 over the span of the bars (a stored table in the pipeline: checkpointed)."""
     from ticklake.session import materialize
-    return materialize(dims.dim_date_from(quality.date_bounds(fx.bars(spark, sf_dir))))
+    return materialize(dims.dim_date_from(quality.date_bounds(fx.bars(spark, sf_dir))), "dim_date")
 
 
 def fact_prices(spark, sf_dir):
@@ -149,17 +150,24 @@ def q_fact_prices(spark, sf_dir):
 
 @query("integrity_report")
 def q_integrity_report(spark, sf_dir):
-    return quality.integrity_report(fact_prices(spark, sf_dir), dim_companies(spark, sf_dir),
-                                    dim_date(spark, sf_dir), clean_bars(spark, sf_dir))
+    """K8 over the star schema.  Silver is a stored table in the pipeline:
+    it is written once here and both the facts and the coverage check read it."""
+    from ticklake.session import materialize
+    silver = materialize(price_facts_input(spark, sf_dir), "silver")
+    d = dim_companies(spark, sf_dir)
+    return quality.integrity_report(dims.load_fact_prices(silver, d), d, dim_date(spark, sf_dir), silver)
 
 
 @query("table_health")
 def q_table_health(spark, sf_dir):
+    from ticklake.session import materialize
+    silver = materialize(price_facts_input(spark, sf_dir), "silver")
+    d = dim_companies(spark, sf_dir)
     return quality.table_health({
         "gold.dim_date": dim_date(spark, sf_dir),
-        "gold.dim_companies": dim_companies(spark, sf_dir),
-        "gold.fact_prices": fact_prices(spark, sf_dir),
-        "silver.prices": clean_bars(spark, sf_dir),
+        "gold.dim_companies": d,
+        "gold.fact_prices": dims.load_fact_prices(silver, d),
+        "silver.prices": silver,
         "silver.news": fx.news(spark, sf_dir)})
 
 

@@ -75,10 +75,10 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit("X").alias("exchange")))
 
 
-def company_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def company_updates(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """A later snapshot of ``companies``: a third change sector, a third are
     unchanged, a third are absent, and a few new symbols appear."""
-    c = companies(spark, sf_dir)
+    c = base if base is not None else companies(spark, sf_dir)
     changed = (c.filter(F.pmod("symbol", F.lit(3)) == 0)
                 .withColumn("sector", F.concat("sector", F.lit("_NEW"))))
     same = c.filter(F.pmod("symbol", F.lit(3)) == 1)
