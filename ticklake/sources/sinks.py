@@ -71,8 +71,12 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
 
 def insert_ignore(target: DataFrame, rows: DataFrame, keys: Sequence[str],
                   order: Sequence | None = None) -> DataFrame:
-    """ON CONFLICT DO NOTHING: existing rows win, only new keys are added."""
-    r = dedupe_on_keys(rows, keys, order)
+    """ON CONFLICT DO NOTHING: existing rows win, only new keys are added;
+    among new rows sharing a key the first in ``order`` wins (as a row-by-row
+    insert would keep the first)."""
+    from ticklake.operators.text import first_per_key
+    rest = [c for c in rows.columns if c not in keys]
+    r = first_per_key(rows, keys, list(order) if order else rest)
     new = r.join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(new, allowMissingColumns=True)
 
