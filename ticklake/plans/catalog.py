@@ -71,16 +71,17 @@ INITIAL_LOAD = "1995-01-01"    # fixed: first dimension load
 UPDATE_LOAD = "1998-01-01"     # fixed: second dimension load
 
 
-def dim_companies(spark, sf_dir):
+def dim_companies(spark, sf_dir, stored: bool = False):
     """K1 applied twice: initial load, then the later company snapshot.
 
     The dimension is a stored table in the pipeline (one row per company
-    version); it is checkpointed into the shared folder so that queries
-    reading it several times scan it instead of re-deriving it."""
+    version); with ``stored`` it is written to the shared folder and read
+    back, for queries that read it several times."""
     from ticklake.session import materialize
     comp = fx.companies(spark, sf_dir)
     d0 = dims.scd2_upsert(dims.empty_dim(spark), comp, INITIAL_LOAD)
-    return materialize(dims.scd2_upsert(d0, fx.company_updates(spark, sf_dir, comp), UPDATE_LOAD), "dim_companies")
+    d1 = dims.scd2_upsert(d0, fx.company_updates(spark, sf_dir, comp), UPDATE_LOAD)
+    return materialize(d1, "dim_companies") if stored else d1
 
 
 def dim_date(spark, sf_dir):
@@ -154,7 +155,7 @@ def q_integrity_report(spark, sf_dir):
     it is written once here and both the facts and the coverage check read it."""
     from ticklake.session import materialize
     silver = materialize(price_facts_input(spark, sf_dir), "silver")
-    d = dim_companies(spark, sf_dir)
+    d = dim_companies(spark, sf_dir, stored=True)
     return quality.integrity_report(dims.load_fact_prices(silver, d), d, dim_date(spark, sf_dir), silver)
 
 
@@ -162,7 +163,7 @@ def q_integrity_report(spark, sf_dir):
 def q_table_health(spark, sf_dir):
     from ticklake.session import materialize
     silver = materialize(price_facts_input(spark, sf_dir), "silver")
-    d = dim_companies(spark, sf_dir)
+    d = dim_companies(spark, sf_dir, stored=True)
     return quality.table_health({
         "gold.dim_date": dim_date(spark, sf_dir),
         "gold.dim_companies": d,
