@@ -87,7 +87,7 @@ def dim_companies(spark, sf_dir, stored: bool = False):
 def dim_date(spark, sf_dir):
     """K2 over the span of the bars (a stored table in the pipeline: checkpointed)."""
     from ticklake.session import materialize
-    return materialize(dims.dim_date_from(quality.date_bounds(fx.bars(spark, sf_dir))), "dim_date")
+    return materialize(dims.dim_date_from(quality.date_bounds(fx.bar_dates(spark, sf_dir))), "dim_date")
 
 
 def fact_prices(spark, sf_dir):

@@ -57,6 +57,17 @@ def bars(spark: SparkSession, sf_dir: str, net: bool = False, lineitem: DataFram
                    F.sum("l_quantity").cast("bigint").alias("volume")))
 
 
+def bar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trade dates of ``bars`` without building them.
+
+    Every ``lineitem`` row makes (or joins) the bar of its supplier on its
+    ship day, so the bars' dates are exactly the ship days: a one-column
+    scan instead of the OHLCV aggregate.
+    """
+    li = read_table(spark, sf_dir, "lineitem", "l_shipdate")
+    return li.select(F.to_date("l_shipdate").alias("trade_date"))
+
+
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company attributes: sector = region name, industry = nation name.
 
