@@ -41,3 +41,17 @@ def test_grouped_map_runs_from_another_working_directory(tmp_path):
                          capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "ROWS " in out.stdout
+
+
+def test_recent_clean_dates_equal_the_full_calendar(spark):
+    """Candidate path (n small) and fallback path (n above the number of
+    dates) both give the n newest dates of the clean bars."""
+    from pyspark.sql import functions as F
+
+    from ticklake.plans import catalog
+    full = [r[0] for r in catalog.clean_bars(spark, SF_SMALL).select("trade_date").distinct()
+            .orderBy(F.desc("trade_date")).collect()]
+    for n in (5, 20, len(full) + 7):
+        got = catalog.recent_clean_dates(spark, SF_SMALL, n)
+        dates = sorted((r[0] for r in got.select("trade_date").distinct().collect()), reverse=True)
+        assert dates[:n] == full[:n]

@@ -37,6 +37,30 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ind.enrich_bars(clean_bars(spark, sf_dir), eps=TIE_EPS)
 
 
+def recent_clean_dates(spark: SparkSession, sf_dir: str, n: int = views.RECENT_DATES) -> DataFrame:
+    """The n newest dates that carry a clean bar (the calendar of C3),
+    without a second full OHLCV aggregate.
+
+    Candidates are the n newest ship dates (a one-column scan).  The clean
+    bars of just those days are built from the rows shipped on them (the
+    date filter reaches the Parquet scan; a day's bars only hold that day's
+    rows, so they equal the full bars).  If every candidate has a clean bar,
+    the candidates are the answer; otherwise the full calendar is used.
+    Exact either way; at most n dates reach the driver.
+    """
+    from ticklake.operators.ranking import recent_dates
+    from ticklake.sources.tables import read_table
+    lo = recent_dates(fx.bar_dates(spark, sf_dir), n).agg(F.min("trade_date")).first()[0]
+    if lo is not None:
+        li = read_table(spark, sf_dir, "lineitem").filter(
+            F.col("l_shipdate") >= F.lit(lo).cast("timestamp_ntz"))
+        got = [r[0] for r in ind.clean_bars(fx.bars(spark, sf_dir, lineitem=li))
+               .select("trade_date").distinct().collect()]
+        if len(got) == n:
+            return spark.createDataFrame([(d,) for d in got], "trade_date date")
+    return clean_bars(spark, sf_dir)
+
+
 def price_facts_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver columns the star facts carry (bars + E1 daily return).
 
@@ -107,12 +131,12 @@ def q_rsi_simple(spark, sf_dir):
 @query("sector_momentum")
 def q_sector_momentum(spark, sf_dir):
     return views.sector_momentum(prices(spark, sf_dir), dim_companies(spark, sf_dir), eps=TIE_EPS,
-                                 calendar=clean_bars(spark, sf_dir))
+                                 calendar=recent_clean_dates(spark, sf_dir))
 
 
 @query("portfolio_risk")
 def q_portfolio_risk(spark, sf_dir):
-    return views.portfolio_risk(prices(spark, sf_dir), eps=TIE_EPS, calendar=clean_bars(spark, sf_dir))
+    return views.portfolio_risk(prices(spark, sf_dir), eps=TIE_EPS, calendar=recent_clean_dates(spark, sf_dir))
 
 
 @query("market_proxy")
