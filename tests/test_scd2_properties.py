@@ -32,7 +32,7 @@ def model(snapshots):
             elif rows[-1][0] != a:      # tuple equality: None == None, as <=> does
                 rows[-1][2], rows[-1][4] = False, as_of - dt.timedelta(days=1)
                 rows.append([a, rows[-1][1] + 1, True, as_of, None])
-    return sorted((s, *a, v, cur, f, t) for s, rows in out.items() for a, v, cur, f, t in rows)
+    return sorted(((s, *a, v, cur, f, t) for s, rows in out.items() for a, v, cur, f, t in rows), key=repr)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -45,7 +45,7 @@ def test_scd2_matches_model(spark, snapshots):
     got = d.collect()
     cols = ("symbol", "company_name", "sector", "industry", "exchange", "version", "is_current",
             "effective_from", "effective_to")
-    assert sorted(tuple(r[c] for c in cols) for r in got) == model(snapshots)
+    assert sorted((tuple(r[c] for c in cols) for r in got), key=repr) == model(snapshots)
 
     by_symbol: dict[int, list] = {}
     for r in got:
