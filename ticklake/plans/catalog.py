@@ -57,7 +57,7 @@ def recent_clean_dates(spark: SparkSession, sf_dir: str, n: int = views.RECENT_D
         got = [r[0] for r in ind.clean_bars(fx.bars(spark, sf_dir, lineitem=li))
                .select("trade_date").distinct().collect()]
         if len(got) == n:
-            return spark.createDataFrame([(d,) for d in got], "trade_date date")
+            return spark.range(1).select(F.explode(F.array(*[F.lit(d) for d in got])).alias("trade_date"))
     return clean_bars(spark, sf_dir)
 
 
