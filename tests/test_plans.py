@@ -52,3 +52,11 @@ def test_hot_symbol_is_still_exact(spark):
     all_syms = ind.enrich_bars(df).filter("symbol = 1").orderBy("trade_date").collect()
     alone = ind.enrich_bars(df.filter("symbol = 1")).orderBy("trade_date").collect()
     assert all_syms == alone
+
+
+def test_recent_dates_do_not_rebuild_the_bars(spark):
+    """D3 / D5 read lineitem once: the newest-dates list is a literal table
+    (built from a date-filtered scan), not a second OHLCV aggregate."""
+    for name in ("sector_momentum", "portfolio_risk"):
+        p = plan_of(REGISTRY[name](spark, SF))
+        assert p.count("FileScan parquet [l_") == 1, name
