@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bitslice, blockjoin
+from ticklake.llm import bitslice, blockjoin, simhash
 from ticklake.sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def op1_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.col("vec_id") % 20 == 0, k=20)
 
 
+@query("op4_simhash_vptree")
+def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return simhash.near_duplicates(docs, shingle=4, radius=4).select("doc_id", "fingerprint", "component_id")
+
+
 @query("op10_block_join_ann")
 def op10_block_join_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blockjoin.search(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
