@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bitslice, blockjoin, simhash
+from ticklake.llm import bitslice, blockjoin, linededup, mixing, simhash
 from ticklake.sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,30 @@ def op1_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.col("vec_id") % 20 == 0, k=20)
 
 
+@query("op2_line_windows")
+def op2_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return linededup.dedup_lines(docs)
+
+
+MIX_LEVELS = ["domain", "lang", "source"]
+MIX_WEIGHTS = [{"web": 4, "books": 3, "news": 2, "code": 1}, {"en": 5, "de": 2, "fr": 2, "es": 1}, {}]
+MIX_SEED = 17
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """The tables name no domain: sources are dealt to four by their md5."""
+    first = F.substring(F.md5(F.coalesce("source", F.lit("")).cast("binary")), 1, 1)
+    return docs.withColumn("domain", F.when(first < "4", "web").when(first < "8", "books")
+                           .when(first < "c", "news").otherwise("code"))
+
+
+@query("op3_mix_sources")
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    return mixing.choose(docs, MIX_LEVELS, MIX_WEIGHTS, share=(1, 2), epochs=2, seed=MIX_SEED).drop("key")
+
+
 @query("op4_simhash_vptree")
 def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")

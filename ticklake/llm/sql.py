@@ -1,3 +1,63 @@
 """DuckDB statements for the queries that SQL can express."""
 
 SQL: dict[str, str] = {}
+
+SQL["op2_line_windows"] = """
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+w AS (SELECT doc_id, p, ls[p + 1] AS a, ls[p + 2] AS b, ls[p + 3] AS c
+      FROM (SELECT doc_id, ls, unnest(range(len(ls) - 2)) AS p FROM l WHERE len(ls) >= 3)),
+r AS (SELECT doc_id, p, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, p) AS nth
+      FROM w WHERE trim(a) <> '' OR trim(b) <> '' OR trim(c) <> ''),
+gone AS (SELECT DISTINCT doc_id, p + d AS p FROM r, (SELECT unnest(range(3)) AS d) WHERE nth > 1),
+line AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS p FROM l),
+kept AS (SELECT line.doc_id, count(*) AS n, count(gone.p) AS n_removed,
+                coalesce(string_agg(line, chr(10) ORDER BY line.p) FILTER (WHERE gone.p IS NULL), '') AS text
+         FROM line LEFT JOIN gone ON line.doc_id = gone.doc_id AND line.p = gone.p GROUP BY line.doc_id)
+SELECT d.doc_id, kept.text, CAST(coalesce(n, 0) AS INTEGER) AS n_lines,
+       CAST(coalesce(n_removed, 0) AS INTEGER) AS n_removed
+FROM documents d LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _share(parents: list[str], level: str, weight: str, up: str) -> str:
+    """One level of the tree: budget of each child of the table ``up``."""
+    key = ", ".join([*parents, level])
+    part = "PARTITION BY " + (", ".join(parents) if parents else "1")
+    inner = "PARTITION BY " + (", ".join(f"k.{c}" for c in parents) if parents else "1")
+    join = " AND ".join(f"k.{c} IS NOT DISTINCT FROM u.{c}" for c in parents) or "TRUE"
+    return f"""
+SELECT {key}, cap, CASE WHEN is_full THEN cap
+       ELSE (budget - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ({part})) * w
+            // sum(CASE WHEN is_full THEN 0 ELSE w END) OVER ({part}) END AS budget
+FROM (SELECT *, cap * w_after <= (budget - cap_before) * w AS is_full
+      FROM (SELECT k.*, u.budget,
+                   coalesce(sum(k.cap) OVER ({inner}
+                     ORDER BY k.cap::DOUBLE / w, k.{level}
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS cap_before,
+                   (sum(w) OVER ({inner}
+                     ORDER BY k.cap::DOUBLE / w, k.{level}
+                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::HUGEINT AS w_after
+            FROM (SELECT {key}, (sum(n_tokens) * 2)::HUGEINT AS cap, ({weight})::HUGEINT AS w
+                  FROM t GROUP BY {key}) k JOIN {up} u ON {join}))"""
+
+
+SQL["op3_mix_sources"] = f"""
+WITH t AS (
+  SELECT doc_id, lang, source, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS n_tokens,
+         CASE WHEN left(md5(coalesce(source, '')), 1) < '4' THEN 'web'
+              WHEN left(md5(coalesce(source, '')), 1) < '8' THEN 'books'
+              WHEN left(md5(coalesce(source, '')), 1) < 'c' THEN 'news' ELSE 'code' END AS domain
+  FROM documents WHERE len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) > 0),
+root AS (SELECT least(sum(n_tokens)::HUGEINT // 2, sum(n_tokens)::HUGEINT * 2) AS budget FROM t),
+l1 AS ({_share([], "domain", "CASE domain WHEN 'web' THEN 4 WHEN 'books' THEN 3 WHEN 'news' THEN 2 ELSE 1 END", "root")}),
+l2 AS ({_share(["domain"], "lang", "CASE lang WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END", "l1")}),
+l3 AS ({_share(["domain", "lang"], "source", "1", "l2")}),
+m AS (SELECT t.*, (budget // (cap // 2))::BIGINT AS passes, (budget % (cap // 2))::BIGINT AS rest,
+             md5(concat_ws(':', '17', (budget // (cap // 2))::VARCHAR, t.doc_id::VARCHAR)) AS mark
+      FROM t JOIN l3 ON t.domain = l3.domain AND t.lang IS NOT DISTINCT FROM l3.lang
+                    AND t.source IS NOT DISTINCT FROM l3.source),
+c AS (SELECT *, passes + CASE WHEN sum(n_tokens) OVER (PARTITION BY domain, lang, source
+                                                      ORDER BY mark, doc_id) <= rest THEN 1 ELSE 0 END AS copies
+      FROM m)
+SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens, copies::BIGINT AS copies FROM c WHERE copies > 0
+"""
