@@ -82,17 +82,16 @@ def deal(children: DataFrame, parents: list[str], weight: Column) -> DataFrame:
 def budgets(leaves: DataFrame, levels: list[str], weights: list[dict[str, int]], share: tuple[int, int],
             epochs: int, default: int = 1) -> DataFrame:
     """(levels, tokens) per leaf -> levels, tokens, budget."""
-    nodes = (leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("_all"))
-             .select(F.least(F.expr(f"CAST(CAST(_all AS decimal(28,0)) * {share[0]} div {share[1]} AS bigint)"),
-                             F.col("_all") * epochs).alias("budget")))
-    parents: list[str] = []
+    nodes, parents = None, []
     for level, table in zip(levels, weights, strict=True):
         caps = leaves.groupBy(*parents, level).agg((F.sum("tokens") * epochs).alias("cap"))
         if parents:
             caps = (caps.join(nodes.select(*renamed(parents), "budget"), same(parents))
                     .drop(*[f"_at_{c}" for c in parents]))
         else:
-            caps = caps.withColumn("_one", F.lit(1)).join(nodes.withColumn("_one", F.lit(1)), "_one").drop("_one")
+            everything = F.sum("cap").over(Window.partitionBy(F.lit(0)))
+            caps = caps.withColumn("_all", everything).withColumn("budget", F.least(F.col("_all"), F.expr(
+                f"CAST(CAST(_all AS decimal(28,0)) * {share[0]} div {share[1] * epochs} AS bigint)"))).drop("_all")
         nodes = deal(caps, parents, _weight(level, table, default))
         parents = [*parents, level]
     return nodes.select(*levels, (F.col("cap") / epochs).cast("long").alias("tokens"), "budget")
