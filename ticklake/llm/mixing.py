@@ -102,7 +102,7 @@ def choose(docs: DataFrame, levels: list[str], weights: list[dict[str, int]], sh
     """doc_id, key (text hash), levels, n_tokens, copies: the documents taken
     and how often.  ``share`` is the budget as a fraction of all tokens."""
     rows = store(docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("key"), *levels,
-                             word_count(F.col(text_col)).alias("n_tokens")).where("n_tokens > 0"), "mix-rows")
+                             word_count(F.col(text_col)).alias("n_tokens")), "mix-rows").where("n_tokens > 0")
     leaves = store(rows.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens")), "mix-leaves")
     plan = (budgets(leaves, levels, weights, share, epochs)
             .select(*renamed(levels), F.expr("budget div tokens").cast("long").alias("passes"),
