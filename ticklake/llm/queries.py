@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bitslice, blockjoin, linededup, mixing, simhash
+from ticklake.llm import bitslice, blockjoin, bpe, linededup, mixing, pii, quality, simhash
+from ticklake.llm.common import id_remainder
 from ticklake.sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +60,36 @@ def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, shingle=4, radius=4).select("doc_id", "fingerprint", "component_id")
 
 
+@query("op5_skipchain_pii")
+def op5_skipchain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return pii.find(docs, pii.train(docs))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    return quality.train(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@query("op7_bradley_terry_quality")
+def op7_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir))
+    return scored.select("doc_id", (id_remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
+def multilingual_ranks() -> tuple[dict[bytes, int], str]:
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        return bpe.load_ranks(f.read()), public_tokenizers.PATTERN
+
+
+@query("op8_bpe_transducer")
+def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.encode_documents(docs, *multilingual_ranks())
+
+
 @query("op10_block_join_ann")
 def op10_block_join_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blockjoin.search(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
