@@ -29,7 +29,7 @@ def coder(request):
 
 TEXTS = ["", " ", "\n\n \t", "hello world's  end", "a" * 3000, "ab" * 2000, " " * 999, "=" * 500 + "-" * 333,
          "Éçeau aianre für größe", "日本語テキスト", "🙂🙃" * 50, "\u0000́e", "<|endoftext|>", "1234567890" * 30,
-         "the" * 700, "\r\n" * 90]
+         "the" * 700, "\r\n" * 90, "a\x1cb\x85 c\xa0\xa0 d²³ ¼ª x"]
 
 
 def test_fixed_texts(coder):
@@ -65,6 +65,7 @@ test_any_text.pair = (lambda r: (bpe.Encoder(r[0], public_tokenizers.PATTERN), r
 
 def test_state_table_starts_anew(monkeypatch):
     monkeypatch.setattr(bpe, "MAX_STATES", 10)
+    assert bpe.Encoder({bytes([i]): i for i in range(256)}, r"\s+|\S+").encode("no merges") == list(b"no merges")
     monkeypatch.setattr(bpe, "MAX_PIECES", 3)
     ranks, own = load(FILES[0])
     enc = bpe.Encoder(ranks, public_tokenizers.PATTERN)

@@ -14,9 +14,9 @@ are made when first met and kept (``MAX_STATES``; beyond it the table starts
 anew, which costs time and changes nothing).  The lookahead is bounded by
 the longest token.
 
-The compiled merges say which neighbours go together: ``merge`` joins the
-adjacent pair of lowest rank, leftmost first, until none is left; it only
-ever runs on the bytes of one or two tokens and is remembered per pair.
+The merges are compiled to the two parts of each token; which neighbours go
+together is decided by undoing merges on both sides of their boundary, and
+remembered per pair.
 
 Decoding.  Token bytes are fed to an incremental UTF-8 state machine, which
 holds back a character whose bytes have not all come.
@@ -29,7 +29,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import struct
+import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +41,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_STATES = 400_000
-MAX_PIECES = 400_000
+MAX_STATES = 600_000
+MAX_PIECES = 600_000
+SHORT = 64                   # bytes of a piece that may run ahead of the state table
+NARROW = 0x250
+WIDE = re.compile("[^\x00-\u024f]")
 
 
 def load_ranks(data: bytes) -> dict[bytes, int]:
@@ -46,132 +53,243 @@ def load_ranks(data: bytes) -> dict[bytes, int]:
 
 
 class Transducer:
-    """Encodes single pieces (bytes) to token ids."""
+    """Encodes single pieces (bytes) to token ids.
+
+    A state holds the last token emitted, the bytes since, the last token of
+    the encoding of each prefix of them, and the open positions."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
-        self.inner = {t[:i] for t in ranks for i in range(1, len(t))}       # proper prefixes of tokens
-        self.goes: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
+        self.size = {r: len(t) for t, r in ranks.items()}
+        # the tokens as a tree: child[node << 8 | byte]; token[node] or -1; grows[node]: longer tokens follow
+        self.child: dict[int, int] = {}
+        self.token, self.grows = [-1], [True]
+        for t, r in ranks.items():
+            node = 0
+            for byte in t:
+                self.grows[node] = True
+                at = node << 8 | byte
+                if at not in self.child:
+                    self.child[at] = len(self.token)
+                    self.token.append(-1)
+                    self.grows.append(False)
+                node = self.child[at]
+            self.token[node] = r
+        self.parts: dict[int, tuple[int, int] | None] = {}
+        self.goes: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.states: dict[tuple[int, bytes], int] = {}
-        self.keys: list[tuple[int, bytes]] = []
+        self.numbers: dict[tuple[int, bytes], int] = {}
+        self.states: list[tuple[int, bytes, list[int], list[tuple[int, int]]]] = []
         self.next: list[dict[int, tuple[int, tuple[int, ...]]]] = []
         self.final: list[tuple[int, ...] | None] = []
-        self.state(-1, b"")
-
-    def merge(self, piece: bytes) -> list[int]:
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: self.ranks.get(parts[i] + parts[i + 1], 1 << 60))
-            if parts[best] + parts[best + 1] not in self.ranks:
-                break
-            parts[best:best + 2] = [parts[best] + parts[best + 1]]
-        return [self.ranks[p] for p in parts]
-
-    def stands(self, t: int) -> bool:
-        """The token is what its own bytes merge to."""
-        ok = self.alone.get(t)
-        if ok is None:
-            ok = self.alone[t] = self.merge(self.tokens[t]) == [t]
-        return ok
+        self.met: set[int] = set()
+        self.state(-1, b"", [], [(0, 0)])
 
-    def follows(self, a: int, b: int) -> bool:
-        if a < 0:
-            return True
-        ok = self.goes.get((a, b))
-        if ok is None:
-            if len(self.goes) > 4 * MAX_STATES:
-                self.goes.clear()
-            ok = self.goes[a, b] = self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
-        return ok
-
-    def state(self, last: int, pending: bytes) -> int:
-        s = self.states.get((last, pending))
+    def state(self, last: int, pending: bytes, ends: list[int], opened: list[tuple[int, int]]) -> int:
+        s = self.numbers.get((last, pending))
         if s is None:
-            s = self.states[last, pending] = len(self.keys)
-            self.keys.append((last, pending))
+            s = self.numbers[last, pending] = len(self.states)
+            self.states.append((last, pending, ends, opened))
             self.next.append({})
             self.final.append(None)
         return s
 
-    def chains(self, last: int, pending: bytes) -> list[tuple[int, ...]]:
-        """The encoding of every prefix of the pending bytes after ``last``."""
-        out: list[tuple[int, ...]] = [()]
-        for end in range(1, len(pending) + 1):
-            for start in range(end):
-                t = self.ranks.get(pending[start:end])
-                if (t is not None and out[start] is not None and self.stands(t)
-                        and self.follows(out[start][-1] if out[start] else last, t)):
-                    out.append((*out[start], t))
+    def split(self, t: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes t; t itself twice for a single
+        byte; None if the merges of its bytes do not come to t."""
+        try:
+            return self.parts[t]
+        except KeyError:
+            word = self.tokens[t]
+            parts = [word[i:i + 1] for i in range(len(word))]
+            while len(parts) > 2:
+                rank, i = min((self.ranks.get(parts[i] + parts[i + 1], t), i) for i in range(len(parts) - 1))
+                if rank >= t:
                     break
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            self.parts[t] = ((t, t) if len(word) == 1 else
+                             (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None)
+        return self.parts[t]
+
+    def follows(self, a: int, b: int) -> bool:
+        """No merge crosses the boundary of a and b: undo the two tokens'
+        merges, latest first; what then touches the boundary must not have
+        been mergeable before the merge that was undone (of equal ranks the
+        left one comes first)."""
+        if len(self.goes) > 4 * MAX_STATES:
+            self.goes.clear()
+        ok = self.goes[a << 32 | b] = self._apart(a, b)
+        return ok
+
+    def _apart(self, a: int, b: int) -> bool:
+        before = 1 << 60                        # merges of a rank below this have been tried at the boundary
+        while True:
+            across = self.ranks.get(self.tokens[a] + self.tokens[b])
+            if across is not None and across < before:
+                return False
+            single_a, single_b = len(self.tokens[a]) == 1, len(self.tokens[b]) == 1
+            if single_a and single_b:
+                return True
+            if single_b or (a > b and not single_a):
+                before, a = a, self.split(a)[1]
             else:
-                out.append(None)        # cannot end here after this token
-        return out
+                before, b = b + 1, self.split(b)[0]
+
+    def advance(self, last: int, ends: list[int], opened: list[tuple[int, int]], more: bytes) -> list:
+        """Read bytes: append the last token of each prefix to ``ends``;
+        return the open positions, each with its node of the token tree."""
+        child, token, grows, goes, n = self.child, self.token, self.grows, self.goes, len(ends)
+        for byte in more:
+            found, still = -1, []
+            for start, node in opened:
+                node = child.get(node << 8 | byte)
+                if node is None:
+                    continue
+                if found < 0 and token[node] >= 0:
+                    t = token[node]
+                    left = ends[start - 1] if start else last
+                    if self.split(t) is not None:
+                        ok = True if left < 0 else goes.get(left << 32 | t)
+                        if ok or (ok is None and self.follows(left, t)):
+                            found = t
+                if grows[node]:
+                    still.append((start, node))
+            n += 1
+            if found < 0:
+                raise ValueError("the vocabulary lacks a single byte")
+            ends.append(found)
+            still.append((n, 0))
+            opened = still
+        return opened
 
     def step(self, s: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, pending = self.keys[s]
-        pending += bytes((byte,))
-        chains = self.chains(last, pending)
-        n = len(pending)
-        # open: the end, and each position where a longer token may begin
-        alive = [chains[n]] + [chains[i] for i in range(n) if chains[i] is not None and pending[i:] in self.inner]
-        alive = [c for c in alive if c is not None]
-        done = 0
-        while all(len(c) > done and c[done] == alive[0][done] for c in alive):
-            done += 1
-        emitted = alive[0][:done]
-        if done:
-            cut = sum(len(self.tokens[t]) for t in emitted)
-            last, pending = emitted[-1], pending[cut:]
-        out = self.next[s][byte] = (self.state(last, pending), emitted)
+        """Make the transition of a state on a byte."""
+        last, pending, ends, opened = self.states[s]
+        ends, pending = [*ends], pending + bytes((byte,))
+        opened = self.advance(last, ends, opened, pending[-1:])
+        # what every open position's chain of tokens passes through is settled
+        tips = {p for p, _ in opened}
+        while len(tips) > 1:
+            far = max(tips)
+            tips.remove(far)
+            tips.add(far - self.size[ends[far - 1]])
+        cut = tips.pop()
+        emitted = self.chain(ends, cut)
+        if cut:
+            last, pending, ends = ends[cut - 1], pending[cut:], ends[cut:]
+            opened = [(p - cut, node) for p, node in opened]
+        out = self.next[s][byte] = (self.state(last, pending, ends, opened), emitted)
         return out
 
+    def ahead(self, s: int, more: bytes) -> tuple[int, ...]:
+        """What a short piece still emits from a state on, without making
+        the states between: a transition becomes one when met again."""
+        last, _, ends, opened = self.states[s]
+        ends = [*ends]
+        self.advance(last, ends, opened, more)
+        return self.chain(ends, len(ends))
+
+    def chain(self, ends: list[int], at: int) -> tuple[int, ...]:
+        out, size = [], self.size
+        while at:
+            t = ends[at - 1]
+            out.append(t)
+            at -= size[t]
+        return tuple(out[::-1])
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.keys) > MAX_STATES:
+        if len(self.states) + len(self.met) > MAX_STATES:
             self._reset()
         out: list[int] = []
         s, table = 0, self.next
-        for byte in piece:
+        for i, byte in enumerate(piece):
             go = table[s].get(byte)
-            s, emitted = go if go is not None else self.step(s, byte)
+            if go is None:
+                if len(piece) <= SHORT and s << 8 | byte not in self.met:
+                    self.met.add(s << 8 | byte)
+                    out += self.ahead(s, piece[i:])
+                    return out
+                go = self.step(s, byte)
+            s, emitted = go
             if emitted:
                 out += emitted
         rest = self.final[s]
         if rest is None:
-            rest = self.final[s] = self.chains(*self.keys[s])[-1]
+            rest = self.final[s] = self.chain(self.states[s][2], len(self.states[s][1]))
         out += rest
         return out
 
 
+def narrow_pattern(pattern: str) -> str:
+    """The pattern for texts whose characters all lie below ``NARROW``: the
+    classes of letters, numbers and white space written out from the
+    character database, which the faster standard matcher can run."""
+    def members(test) -> str:
+        return "".join(re.escape(chr(c)) for c in range(NARROW) if test(chr(c)))
+
+    letters = members(lambda c: unicodedata.category(c)[0] == "L")
+    numbers = members(lambda c: unicodedata.category(c)[0] == "N")
+    space = r"\t\n\x0b\x0c\r \x85\xa0"
+    for inside, outside in ((r"[^\s\p{L}\p{N}]", f"[^{space}{letters}{numbers}]"), (r"\p{L}", f"[{letters}]"),
+                            (r"\p{N}", f"[{numbers}]"), (r"\s", f"[{space}]"), (r"\S", f"[^{space}]")):
+        pattern = pattern.replace(inside, outside)
+    return pattern
+
+
+class Pieces(dict):
+    """Piece -> its ids as little-endian unsigned 32-bit integers; a piece
+    not met before goes through the transducer."""
+
+    def __init__(self, fst: Transducer):
+        self.fst = fst
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.fst.encode(piece.encode())
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= 64:
+            if len(self) >= MAX_PIECES:
+                self.clear()
+            self[piece] = packed
+        return packed
+
+
 class Encoder:
-    """Texts to token ids; pieces met before are looked up."""
+    """Texts to token ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.fst = Transducer(ranks)
         self.split = regex.compile(pattern)
-        self.seen: dict[str, list[int]] = {}
+        self.split_narrow = re.compile(narrow_pattern(pattern))
+        self.pieces = Pieces(self.fst)
+
+    def pack(self, text: str) -> bytes:
+        split = self.split if WIDE.search(text) else self.split_narrow
+        return b"".join(map(self.pieces.__getitem__, split.findall(text)))
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        seen = self.seen
-        for m in self.split.finditer(text):
-            piece = m.group()
-            ids = seen.get(piece)
-            if ids is None:
-                ids = self.fst.encode(piece.encode())
-                if len(seen) >= MAX_PIECES:
-                    seen.clear()
-                if len(piece) <= 64:
-                    seen[piece] = ids
-            out += ids
-        return out
+        return np.frombuffer(self.pack(text), "<u4").tolist()
+
+
+class Vocabulary:
+    """What is broadcast: the ranks, and in each worker the encoder made of
+    them, kept from task to task."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.ranks, self.pattern, self.made = ranks, pattern, None
+
+    def __getstate__(self):
+        return {"ranks": self.ranks, "pattern": self.pattern, "made": None}
+
+    def encoder(self) -> Encoder:
+        if self.made is None:
+            self.made = Encoder(self.ranks, self.pattern)
+        return self.made
 
 
 class Utf8Machine:
@@ -201,9 +319,9 @@ class Utf8Machine:
 
 def decode(ids: Iterable[int], tokens: dict[int, bytes], burst: int = 4096) -> Iterator[str]:
     """Text pieces of a token stream, a burst of tokens at a time."""
-    machine, ids = Utf8Machine(), list(ids)
-    for lo in range(0, len(ids), burst):
-        yield machine.feed(b"".join([tokens[t] for t in ids[lo:lo + burst]]))
+    machine, data = Utf8Machine(), map(tokens.__getitem__, ids)
+    while some := b"".join(islice(data, burst)):
+        yield machine.feed(some)
     yield machine.close()
 
 
@@ -212,21 +330,21 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids): one row per
     document; a null text counts as empty.  The vocabulary (fixed in size)
     is broadcast."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(ranks)
+    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(ranks, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary.value, pattern)
+        encoder = vocabulary.value.encoder()
         tokens = encoder.fst.tokens
         for b in batches:
             cols: list[list] = [[], [], [], []]
             for t in b.column(1):
-                ids = encoder.encode(t.as_py() or "")
+                packed = encoder.pack(t.as_py() or "")
+                ids = np.frombuffer(packed, "<u4")
                 digest = hashlib.sha256()
-                for piece in decode(ids, tokens):
+                for piece in decode(ids.tolist(), tokens):
                     digest.update(piece.encode())
-                packed = np.array(ids, dtype="<u4")
-                for c, v in zip(cols, (len(ids), hashlib.sha256(packed.tobytes()).hexdigest(), digest.hexdigest(),
-                                       packed.astype(np.int32) if with_ids else None), strict=True):
+                for c, v in zip(cols, (len(ids), hashlib.sha256(packed).hexdigest(), digest.hexdigest(),
+                                       ids.astype(np.int32) if with_ids else None), strict=True):
                     c.append(v)
             out = [b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1]), pa.array(cols[2])]
             yield pa.record_batch(out + [pa.array(cols[3], pa.list_(pa.int32()))] * with_ids, names=names)
