@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bitslice, blockjoin, bpe, linededup, mixing, pii, quality, simhash
+from ticklake.llm import bitslice, blockjoin, bpe, interpolation, linededup, mixing, pii, quality, simhash
 from ticklake.llm.common import id_remainder
 from ticklake.sources.tables import read_table
 
@@ -90,6 +90,11 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, *multilingual_ranks())
 
 
+@query("op9_deleted_interpolation")
+def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op10_block_join_ann")
 def op10_block_join_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blockjoin.search(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
