@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bitslice, blockjoin, bpe, interpolation, linededup, mixing, pii, quality, simhash
+from ticklake.llm import bitslice, blockjoin, bpe, interpolation, linededup, mixing, pii, quality, simhash, warc
 from ticklake.llm.common import id_remainder
 from ticklake.sources.tables import read_table
 
@@ -70,6 +70,11 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.
     return quality.train(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+@query("op6_warc_derivatives")
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(read_table(spark, sf_dir, "pages", "page_id", "url", "html")))
+
+
 @query("op7_bradley_terry_quality")
 def op7_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")

@@ -61,3 +61,60 @@ c AS (SELECT *, passes + CASE WHEN sum(n_tokens) OVER (PARTITION BY domain, lang
       FROM m)
 SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens, copies::BIGINT AS copies FROM c WHERE copies > 0
 """
+
+
+def _urn(name: str) -> str:
+    h = f"md5({name})"
+    return ("concat('<urn:uuid:', " + ", '-', ".join(f"substr({h}, {a}, {n})" for a, n in
+                                                     ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + ", '>')")
+
+
+def _entities(x: str) -> str:
+    for name, char in (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&lt;", "<"),
+                       ("&gt;", ">"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&hellip;", "…"),
+                       ("&ndash;", "–"), ("&mdash;", "—"), ("&euro;", "€"), ("&laquo;", "«"), ("&raquo;", "»"),
+                       ("&amp;", "&")):
+        x = f"replace({x}, '{name}', '{char}')"
+    return x
+
+
+_BARE = "regexp_replace(regexp_replace(regexp_replace(h, '(?s)<!--.*?-->', '', 'g'), " \
+        "'(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g')"
+_LINES = (f"regexp_replace({_BARE}, '(?i)</?(p|br|div|li|ul|ol|h[1-6]|article|section|nav|footer|header|main|table|tr|"
+          "title|head|body|html|blockquote|pre)(/| [^>]*)?>', chr(10), 'g')")
+_TEXT = _entities(f"regexp_replace({_LINES}, '<[a-zA-Z/!][^>]*>', '', 'g')")
+_TEXT = f"regexp_replace(regexp_replace({_TEXT}, '[ \\t\\r]+', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g')"
+_TEXT = f"trim(trim({_TEXT}, chr(10)), ' ')"
+
+SQL["op6_warc_derivatives"] = f"""
+WITH p AS (
+  SELECT page_id AS source_id, url AS target_uri, coalesce(html, '') AS h,
+         {_urn("concat('response:', coalesce(page_id::VARCHAR, ''), ':', coalesce(url, ''))")} AS refers_to,
+         concat(chr(13), chr(10)) AS e
+  FROM pages),
+b AS (
+  SELECT *, 'metadata' AS kind, concat(
+    'http-status: 200', e, 'http-content-type: text/html; charset=utf-8', e,
+    'title: ', trim(regexp_replace({_entities("regexp_extract(h, '(?i)<title[^>]*>([^<]*)', 1)")},
+                                   '[ \\t\\r\\n]+', ' ', 'g')), e,
+    'language: ', regexp_extract(h, '(?i)<html[^>]* lang="([^"]*)"', 1), e,
+    'payload-digest: sha256:', sha256(h), e,
+    coalesce(array_to_string(list_transform(regexp_extract_all(h, '(?i)<a [^>]*?href="([^"]*)"', 1),
+                                            lambda x: concat('outlink: ', {_entities("x")}, e)), ''), '')) AS block
+  FROM p
+  UNION ALL BY NAME
+  SELECT *, 'conversion' AS kind, {_TEXT} AS block FROM p),
+r AS (SELECT *, {_urn("concat(kind, ':', refers_to)")} AS record_id, concat('sha256:', sha256(h)) AS payload_digest,
+             concat('sha256:', sha256(block)) AS block_digest, strlen(block) AS n_bytes
+      FROM b)
+SELECT source_id, kind, record_id, refers_to, target_uri, payload_digest, block_digest, n_bytes, block,
+       concat('WARC/1.1', e, 'WARC-Type: ', kind, e, 'WARC-Record-ID: ', record_id, e, 'WARC-Refers-To: ', refers_to, e,
+              CASE WHEN target_uri IS NULL THEN '' ELSE concat('WARC-Target-URI: ', target_uri, e) END,
+              'WARC-Date: 2000-01-01T00:00:00Z', e,
+              CASE WHEN kind = 'conversion' THEN concat('WARC-Refers-To-Payload-Digest: ', payload_digest, e)
+                   ELSE '' END,
+              'WARC-Block-Digest: ', block_digest, e, 'Content-Type: ',
+              CASE WHEN kind = 'conversion' THEN 'text/plain; charset=utf-8' ELSE 'application/warc-fields' END, e,
+              'Content-Length: ', n_bytes, e, e, block) AS record
+FROM r
+"""
