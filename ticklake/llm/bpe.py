@@ -41,8 +41,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_STATES = 600_000
-MAX_PIECES = 600_000
+MAX_STATES = 400_000
+MAX_PIECES = 350_000
 SHORT = 64                   # bytes of a piece that may run ahead of the state table
 NARROW = 0x250
 WIDE = re.compile("[^\x00-\u024f]")
