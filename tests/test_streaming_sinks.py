@@ -84,11 +84,17 @@ def test_normalise_and_history_plus_today(spark):
 
 
 def test_quote_json_to_metrics(spark):
-    doc = '{"priceInfo": {"lastPrice": "101.5", "open": "-", "weekHighLow": {"max": "120", "min": ""}}, ' \
-          '"securityInfo": {"marketCap": "junk"}}'
-    df = spark.createDataFrame([("X", dt.date(2024, 1, 1), doc)], "symbol string, report_period date, quote_json string")
-    got = {r["metric_name"]: r["metric_value"] for r in src.quote_json_to_metrics(df).collect()}
-    assert got == {"lastPrice": 101.5, "high52": 120.0}
+    full = ('{"priceInfo": {"pe": "21.5", "eps": 4, "bookValue": "9", "pbRatio": "2.5", "pChange365d": "-3", '
+            '"pChange30d": "1e1", "weekHighLow": {"max": "120", "min": "80"}}, "metadata": {"marketCap": "5", '
+            '"pdSectorInd": "30"}, "securityInfo": {"faceValue": 10}, "tradeInfo": {"deliveryToTradedQuantity": "44.5"}}')
+    part = '{"priceInfo": {"pe": "-", "eps": "5d", "bookValue": "", "weekHighLow": {"max": " 7 "}}, "metadata": "junk"}'
+    df = spark.createDataFrame([("X", dt.date(2024, 1, 1), full), ("Y", dt.date(2024, 1, 1), part)],
+                               "symbol string, report_period date, quote_json string")
+    got = {(r["symbol"], r["metric_name"]): r["metric_value"] for r in src.quote_json_to_metrics(df).collect()}
+    assert {m: v for (s, m), v in got.items() if s == "X"} == {
+        "high52": 120.0, "low52": 80.0, "pChange365d": -3.0, "pChange30d": 10.0, "pe": 21.5, "eps": 4.0, "bookValue": 9.0,
+        "priceToBook": 2.5, "marketCap": 5.0, "faceValue": 10.0, "industryPE": 30.0, "deliveryToTradedQty": 44.5}
+    assert {m: v for (s, m), v in got.items() if s == "Y"} in ({"high52": 7.0}, {})
 
 
 def test_labels(spark):
@@ -138,3 +144,67 @@ def test_two_query_sinks(spark):
     batch_valid, batch_dead = cl.split_valid_dead(ingest.parse_messages(src.messages(spark, SF)))
     assert spark.read.parquet(d + "/bronze").count() == batch_valid.count()
     assert spark.read.parquet(d + "/dead").count() == batch_dead.count()
+
+
+def test_odd_numbers_and_statements(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("5d", nan), ("1f", 1.0), (" 1.5e2 ", None), ("-", -1.0), (".5", 2.0), ("NaN", 0.0)],
+                               "t string, x double")
+    assert [r[0] for r in df.select(cl.safe_float("t")).collect()] == [None, None, 150.0, None, 0.5, None]
+    assert {(r["c"], r["p"]) for r in df.where("isnan(x)").select(lb.crore_label("x").alias("c"), lb.pe_label("x").alias("p"))
+            .collect()} == {("N/A", "N/A")}
+    valid, dead = cl.split_valid_dead(df.withColumnRenamed("x", "close"))
+    assert sorted(r["close"] for r in valid.collect()) == [1.0, 2.0] and dead.count() == 4
+    said = spark.createDataFrame([("\nSELECT 1",), ("\tselect x",), (" update t",)], "s string")
+    assert [r[0] for r in said.select(cl.statement_verdict("s")["allowed"]).collect()] == [True, True, False]
+
+
+def test_first_merge_keeps_one_row_per_key(spark):
+    d = tempfile.mkdtemp(prefix="ticklake-merge1-")
+    from ticklake.sources.sinks import merge_into_path
+    merge_into_path(spark, d + "/t", spark.createDataFrame([(1, 2.0), (1, 2.0), (2, 3.0)], "k long, v double"), ["k"])
+    assert spark.read.parquet(d + "/t").count() == 2
+
+
+def test_metrics_and_news_lose_nothing(spark):
+    from ticklake.plans import earnings, news
+    fund = spark.createDataFrame([(1, dt.date(2020, 1, 1) + dt.timedelta(days=i), f"m{i % 80}", float(i))
+                                  for i in range(400)], "symbol long, report_period date, metric_name string, metric_value double")
+    got = earnings.latest_metrics(fund).collect()
+    assert len(got) == 80 and min(r["metric_value"] for r in got) == 320.0
+    pending = spark.createDataFrame([(f"h{i:03d}", 1, dt.datetime(2024, 1, 1, 0, i % 60)) for i in range(130)],
+                                    "content_hash string, symbol long, published_at timestamp")
+    assert news.enrichment_batch(pending).count() == 130
+    seen, left = 0, pending
+    while left.count():
+        batch = news.enrichment_batch(left, 50).select("content_hash")
+        seen += batch.count()
+        left = left.join(batch, "content_hash", "left_anti")
+    assert seen == 130
+
+
+def test_feed_refresh_changes_summary_and_sentiment_only(spark):
+    from ticklake.plans import news
+    schema = ("content_hash string, symbol string, headline string, source string, published_at timestamp, url string, "
+              "summary string, sentiment_score double")
+    at = dt.datetime(2024, 1, 1)
+    feed = spark.createDataFrame([("a", "S", "old", "x", at, "u", None, None)], schema)
+    new = spark.createDataFrame([("a", "T", "new", "y", at, "v", "sum", 0.5), ("b", "T", "n", "y", at, "v", None, None)], schema)
+    got = {r["content_hash"]: tuple(r)[1:4] + tuple(r)[5:] for r in
+           news.refresh_news_feed(feed, new).select(*feed.columns).collect()}
+    assert got == {"a": ("S", "old", "x", "u", "sum", 0.5), "b": ("T", "n", "y", "v", None, None)}
+
+
+def test_headlines_strip_all_white_space(spark):
+    from ticklake.operators.text import dedupe_news
+    df = spark.createDataFrame([("x", 1, 1), ("x\t", 1, 2), ("\n x", 1, 3)], "headline string, published_at long, doc_id long")
+    assert dedupe_news(df).count() == 1
+
+
+def test_small_prices_keep_their_mean(spark):
+    from pyspark.sql import Window
+    from ticklake.operators import indicators as ind
+    df = spark.createDataFrame([(1, i, 0.00004) for i in range(20)], "symbol long, trade_date long, close_price double")
+    w = Window.partitionBy("symbol").orderBy("trade_date")
+    got = ind.rolling_mean_exact(df, "close_price", [20], w).orderBy("trade_date").collect()[-1]["_sma_20"]
+    assert abs(got - 0.00004) < 1e-12

@@ -28,7 +28,7 @@ MARKET_CLOSE = "15:30:00.000000"
 FORBIDDEN_WORDS = ("DROP", "DELETE", "TRUNCATE", "INSERT", "UPDATE", "ALTER", "CREATE")
 COMMENT_MARK = "--"
 ROW_CAP = 1000
-ARTICLE_BODY_CHARS = 5000
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _c(x: Column | str) -> Column:
@@ -55,12 +55,17 @@ def add_date_columns(df: DataFrame) -> DataFrame:
               .withColumn("month", F.month("trade_date")))
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def valid_condition(close: str = "close") -> Column:
-    return F.col(close).isNotNull() & (F.col(close) > 0)
+    return F.col(close).isNotNull() & ~F.isnan(F.col(close).cast("double")) & (F.col(close) > 0)
 
 
 def split_valid_dead(df: DataFrame, close: str = "close") -> tuple[DataFrame, DataFrame]:
-    """valid = close not NULL and > 0; dead = the exact complement."""
+    """valid = close neither NULL nor NaN, and > 0; dead = the exact complement."""
     ok = valid_condition(close)
     return df.filter(ok), df.filter(~F.coalesce(ok, F.lit(False)))
 
@@ -68,7 +73,7 @@ def split_valid_dead(df: DataFrame, close: str = "close") -> tuple[DataFrame, Da
 def safe_float(col: Column | str) -> Column:
     """NULL for NULL, '', '-' and non-numeric text."""
     s = F.trim(_c(col).cast("string"))
-    return F.nullif(F.nullif(s, F.lit("")), F.lit("-")).try_cast("double")
+    return F.when(s.rlike(NUMBER), s).try_cast("double")
 
 
 def lookback(df: DataFrame, days: int, as_of, date: str = "trade_date") -> DataFrame:
@@ -99,10 +104,11 @@ def in_market_hours(ts: Column | str) -> Column:
     return (F.weekday(local) < 5) & hhmmss.between(MARKET_OPEN, MARKET_CLOSE)
 
 
-def clean_articles(df: DataFrame) -> DataFrame:
-    """Trimmed non-empty title; source name from a nested struct when
-    present; body = content else description else '' cut to 5000 chars."""
-    title = F.trim(F.col("title"))
+def clean_articles(df: DataFrame, body_chars: int | None = None) -> DataFrame:
+    """Non-empty title without outer white space; source name from a
+    nested struct when present; body = content else description else '',
+    whole unless the caller asks for its first ``body_chars``."""
+    title = strip(F.col("title"))
     src = F.col("source")
     if isinstance(df.schema["source"].dataType, T.StructType):
         src = F.col("source.name")
@@ -111,7 +117,7 @@ def clean_articles(df: DataFrame) -> DataFrame:
     return (df.withColumn("title", title)
               .filter(F.col("title").isNotNull() & (F.col("title") != ""))
               .withColumn("source_name", src)
-              .withColumn("body", F.substring(body, 1, ARTICLE_BODY_CHARS)))
+              .withColumn("body", F.substring(body, 1, body_chars) if body_chars else body))
 
 
 def require_not_null(df: DataFrame, *cols: str) -> DataFrame:
@@ -137,7 +143,7 @@ def statement_verdict(sql: Column | str) -> Column:
         branches = F.when(cond, F.lit(f"forbidden keyword {w}")) if branches is None \
             else branches.when(cond, F.lit(f"forbidden keyword {w}"))
     branches = branches.when(F.contains(s, F.lit(COMMENT_MARK)), F.lit(f"forbidden keyword {COMMENT_MARK}"))
-    branches = branches.when(~F.startswith(F.ltrim(up), F.lit("SELECT")), F.lit("not a SELECT"))
+    branches = branches.when(~F.startswith(strip(up), F.lit("SELECT")), F.lit("not a SELECT"))
     reason = branches.otherwise(reason)
     return F.struct(reason.isNull().alias("allowed"), reason.alias("reason"))
 

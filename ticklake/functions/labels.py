@@ -45,9 +45,9 @@ def _grouped(x: Column, decimals: int) -> Column:
 
 
 def crore_label(v) -> Column:
-    """H6: value / 1e7; >= 1e5 crore -> '₹x.xL Cr', else '₹x,xxx Cr'; NULL -> 'N/A'."""
+    """H6: value / 1e7; >= 1e5 crore -> '₹x.xL Cr', else '₹x,xxx Cr'; NULL or NaN -> 'N/A'."""
     cr = _c(v).cast("double") / F.lit(CRORE)
-    return (F.when(_c(v).isNull(), F.lit("N/A"))
+    return (F.when(_c(v).isNull() | F.isnan(cr), F.lit("N/A"))
              .when(cr >= LAKH_CRORE, F.concat(F.lit(RUPEE), F.format_string("%.1f", F.bround(cr / LAKH_CRORE, 1)),
                                          F.lit("L Cr")))
              .otherwise(F.concat(F.lit(RUPEE), _grouped(cr, 0), F.lit(" Cr"))))
@@ -55,7 +55,7 @@ def crore_label(v) -> Column:
 
 def pe_label(v) -> Column:
     """H7: 'x.xx' -> 'x.x' + 'x'; NULL -> 'N/A'."""
-    return F.when(_c(v).isNull(), F.lit("N/A")).otherwise(
+    return F.when(_c(v).isNull() | F.isnan(_c(v).cast("double")), F.lit("N/A")).otherwise(
         F.concat(F.format_string("%.1f", F.bround(_c(v).cast("double"), 1)), F.lit("x")))
 
 

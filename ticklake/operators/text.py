@@ -27,9 +27,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 def dedupe_news(articles: DataFrame, headline: str = "headline",
                 order: Sequence[str] = ("published_at", "doc_id")) -> DataFrame:
-    """L1: one article per SHA-256 of the trimmed headline, across sources
+    """L1: one article per SHA-256 of the headline without outer white space, across sources
     and symbols; the first (smallest ``order``) wins."""
-    h = articles.withColumn("content_hash", content_hash(F.trim(F.col(headline))))
+    h = articles.withColumn("content_hash", content_hash(py_strip(F.col(headline))))
     return first_per_key(h, ["content_hash"], list(order))
 
 

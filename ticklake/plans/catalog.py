@@ -464,7 +464,8 @@ def q_stream_dedupe(spark, sf_dir):
     """Stateful de-duplication of (ticker, trade_date) in a bounded stream."""
     base = spool_messages(spark, sf_dir)
     ingest.dedupe_stream_to(spark, {"format": "text", "path": base + "/in"}, base + "/dedup", base + "/ckpt")
-    return spark.read.parquet(base + "/dedup")
+    # which of the repeated messages stays depends on arrival: the keys do not
+    return spark.read.parquet(base + "/dedup").select("ticker", "trade_date")
 
 
 @query("market_hours")
@@ -490,14 +491,18 @@ def q_statement_guard(spark, sf_dir):
 def q_quote_metrics(spark, sf_dir):
     last = views.latest_bars(prices(spark, sf_dir))
     dash = F.pmod("symbol", F.lit(5)) == 0
+    text = lambda c: c.cast("string")
     doc = F.to_json(F.struct(
-        F.struct(F.when(dash, F.lit("-")).otherwise(F.col("close_price").cast("string")).alias("lastPrice"),
-                 F.col("open_price").cast("string").alias("open"),
-                 F.col("low_price").cast("string").alias("previousClose"),
-                 F.struct(F.col("high_52w").cast("string").alias("max"),
-                          F.col("low_52w").cast("string").alias("min")).alias("weekHighLow")).alias("priceInfo"),
-        F.struct(F.lit("").alias("pdSymbolPe"), F.lit("-").alias("pdSectorPe")).alias("metadata"),
-        F.struct(F.col("volume").cast("string").alias("issuedSize")).alias("securityInfo")))
+        F.struct(F.when(dash, F.lit("-")).otherwise(text(F.col("close_price") / 10)).alias("pe"),
+                 text(F.col("open_price") / 4).alias("eps"), text(F.col("low_price")).alias("bookValue"),
+                 text(F.col("close_price") / F.col("low_price")).alias("pbRatio"),
+                 text(F.col("daily_return") * 100).alias("pChange365d"), text(F.col("normalised_close")).alias("pChange30d"),
+                 F.struct(text(F.col("high_52w")).alias("max"), text(F.col("low_52w")).alias("min")).alias("weekHighLow"))
+        .alias("priceInfo"),
+        F.struct(text(F.col("close_price") * F.col("volume")).alias("marketCap"),
+                 text(F.pmod("symbol", F.lit(40)) + 1).alias("pdSectorInd")).alias("metadata"),
+        F.struct(F.lit("10").alias("faceValue")).alias("securityInfo"),
+        F.struct(text(F.col("volume")).alias("deliveryToTradedQuantity")).alias("tradeInfo")))
     q = last.select("symbol", F.col("trade_date").alias("report_period"), doc.alias("quote_json"))
     return src.quote_json_to_metrics(q)
 

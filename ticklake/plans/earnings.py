@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions.labels import fundamentals_narrative
-from ticklake.operators.ranking import latest_per_key, top_n_per_key
-
-NARRATIVE_FALLBACK_CHARS = 500
+from ticklake.operators.ranking import latest_per_key
 
 # Summary column <- accepted metric names (first wins).
 SUMMARY_METRICS = {
@@ -47,8 +45,7 @@ def stock_summary(latest: DataFrame, fund: DataFrame) -> DataFrame:
 def latest_metrics(fund: DataFrame) -> DataFrame:
     """newest value per (symbol, metric) (newest wins; the reference's
     dict fold let the oldest win, see README)."""
-    recent = top_n_per_key(fund, ["symbol"], [F.col("report_period").desc(), F.col("metric_name")], 50)
-    return latest_per_key(recent, ["symbol", "metric_name"], ["report_period"])
+    return latest_per_key(fund, ["symbol", "metric_name"], ["report_period"])
 
 
 def metrics_wide(latest: DataFrame) -> DataFrame:
@@ -58,9 +55,10 @@ def metrics_wide(latest: DataFrame) -> DataFrame:
         F.max("report_period").alias("report_date"))
 
 
-def earnings_report(fund: DataFrame, summaries: DataFrame | None = None) -> DataFrame:
+def earnings_report(fund: DataFrame, summaries: DataFrame | None = None,
+                    fallback_chars: int | None = None) -> DataFrame:
     """Latest metrics -> narrative (H17) -> summary (model output when
-    supplied, else the first 500 characters of the narrative) -> sentiment
+    supplied, else the narrative, or its first ``fallback_chars``) -> sentiment
     (NULL -> 0).  Keyed by (ticker, report_date)."""
     w = metrics_wide(latest_metrics(fund))
     narrative = fundamentals_narrative(
@@ -76,7 +74,7 @@ def earnings_report(fund: DataFrame, summaries: DataFrame | None = None) -> Data
     return out.select(
         "ticker", "report_date", "narrative",
         F.coalesce(F.nullif(F.col("summary"), F.lit("")),
-                   F.substring("narrative", 1, NARRATIVE_FALLBACK_CHARS)).alias("summary"),
+                   F.substring("narrative", 1, fallback_chars) if fallback_chars else F.col("narrative")).alias("summary"),
         F.coalesce(F.col("sentiment_score"), F.lit(0.0)).alias("sentiment_score"),
         F.length("narrative").alias("raw_text_length"))
 

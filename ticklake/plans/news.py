@@ -15,9 +15,6 @@ from ticklake.sources.sinks import upsert_coalesce, upsert_overwrite
 
 SENTIMENT_DAYS = 7
 POSITIVE_CUT, NEGATIVE_CUT = 0.1, -0.1
-FEED_ROWS = 10000
-ENRICH_PER_SYMBOL = 50
-EMBED_BATCH = 500
 DAILY_CALL_BUDGET = 80
 CALLS_PER_ARTICLE = 2
 
@@ -77,9 +74,11 @@ def unenriched_news(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     return j.filter(keep).drop("_s_summary", "_s_score", "_in_s")
 
 
-def enrichment_batch(pending: DataFrame, per_symbol: int = ENRICH_PER_SYMBOL) -> DataFrame:
-    """at most ``per_symbol`` newest pending articles per symbol, for all
-    symbols in one job."""
+def enrichment_batch(pending: DataFrame, per_symbol: int | None = None) -> DataFrame:
+    """the pending articles of all symbols in one job; with
+    ``per_symbol``, that many of the newest of each."""
+    if per_symbol is None:
+        return pending
     return top_n_per_key(pending, ["symbol"], article_order(), per_symbol)
 
 
@@ -91,24 +90,27 @@ def budgeted_batch(pending: DataFrame, calls_spent, limit: int = DAILY_CALL_BUDG
     return top_n(pending, article_order(), n)
 
 
-def news_feed(silver: DataFrame, rows: int = FEED_ROWS) -> DataFrame:
-    """newest ``rows`` articles with a publication time."""
+def news_feed(silver: DataFrame, rows: int | None = None) -> DataFrame:
+    """the articles with a publication time (the newest ``rows``)."""
     cols = ["content_hash", "symbol", "headline", "source", "published_at", "url", "summary",
             "sentiment_score"]
     p = silver.filter(F.col("published_at").isNotNull()).select(*cols)
-    return top_n(p, article_order(), rows)
+    return p if rows is None else top_n(p, article_order(), rows)
 
 
-def refresh_news_feed(feed: DataFrame, silver: DataFrame, rows: int = FEED_ROWS) -> DataFrame:
-    """F1 + A10: upsert the newest rows into the feed table."""
+def refresh_news_feed(feed: DataFrame, silver: DataFrame, rows: int | None = None) -> DataFrame:
+    """F1 + A10: add new articles to the feed; those in it already get the
+    new summary and sentiment and keep everything else."""
     new = news_feed(silver, rows)
-    return upsert_overwrite(feed, new, ["content_hash"], [c for c in new.columns if c != "content_hash"])
+    return upsert_overwrite(feed, new, ["content_hash"], ["summary", "sentiment_score"])
 
 
-def embedding_batch(silver: DataFrame, rows: int = EMBED_BATCH, newest_first: bool = False) -> DataFrame:
+def embedding_batch(silver: DataFrame, rows: int | None = None, newest_first: bool = False) -> DataFrame:
     """articles never embedded (embedding_updated_at NULL), oldest first
-    (or newest first), at most ``rows``."""
+    (or newest first); with ``rows``, a batch of that many."""
     p = silver.filter(F.col("embedding_updated_at").isNull())
+    if rows is None:
+        return p
     o = F.col("published_at").desc_nulls_last() if newest_first else F.col("published_at").asc_nulls_last()
     return top_n(p, [o, F.col("content_hash")], rows)
 
@@ -136,7 +138,7 @@ def vector_upsert(store: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def enrich_news(bronze: DataFrame, silver: DataFrame, scores: DataFrame,
-                per_symbol: int = ENRICH_PER_SYMBOL) -> DataFrame:
+                per_symbol: int | None = None) -> DataFrame:
     """Incremental bronze -> silver enrichment.
 
     Pending = C2; batch = F2; text = body else headline; model output comes

@@ -59,10 +59,13 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Use the shared folder named in ``spark.checkpoint.dir``.
 
     A cluster sets this to shared storage; we only create our own folder
-    when the setting is absent (local runs and tests).
+    when the setting is absent and the master is local: on a cluster each
+    executor would write to its own disk, so there a missing setting raises.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        if not fallback and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         path = fallback or tempfile.mkdtemp(prefix="ticklake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
@@ -85,5 +88,5 @@ def materialize(df, name: str = "table"):
     import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)

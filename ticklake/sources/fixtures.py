@@ -125,14 +125,14 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     lab = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     head = headline_of(F.col("text"))
-    minutes = (F.col("doc_id") * NEWS_MINUTES_PER_DOC).cast("int")
+    minutes = F.col("doc_id") * NEWS_MINUTES_PER_DOC          # a long: beyond an int, days carry it
     return (d.join(lab, "doc_id", "left")
              .select(F.sha2(head, 256).alias("content_hash"),
                      F.col("source").alias("symbol"),
                      head.alias("headline"),
                      F.col("lang").alias("source"),
                      (F.lit(NEWS_EPOCH).cast("timestamp_ntz")
-                      + F.make_dt_interval(F.lit(0), F.lit(0), minutes)).alias("published_at"),
+                      + F.make_dt_interval(F.floor(minutes / 1440).cast("int"), F.lit(0), F.pmod(minutes, F.lit(1440)).cast("int"))).alias("published_at"),
                      F.concat(F.lit("https://news.invalid/"), F.col("doc_id").cast("string")).alias("url"),
                      F.col("text").alias("raw_body"),
                      F.nullif(F.trim(F.split_part(F.col("text"), F.lit("\n"), F.lit(2))), F.lit("")).alias("summary"),

@@ -81,33 +81,29 @@ def normalise_ohlcv(df: DataFrame, date_col: str = "Date", keep=()) -> DataFrame
 
 # Quote document fields -> metric names.
 QUOTE_METRIC_PATHS = {
-    "lastPrice": "priceInfo.lastPrice",
-    "open": "priceInfo.open",
-    "previousClose": "priceInfo.previousClose",
-    "change": "priceInfo.change",
-    "pChange": "priceInfo.pChange",
     "high52": "priceInfo.weekHighLow.max",
     "low52": "priceInfo.weekHighLow.min",
-    "pe": "metadata.pdSymbolPe",
-    "sectorPE": "metadata.pdSectorPe",
-    "marketCap": "securityInfo.marketCap",
+    "pChange365d": "priceInfo.pChange365d",
+    "pChange30d": "priceInfo.pChange30d",
+    "pe": "priceInfo.pe",
+    "eps": "priceInfo.eps",
+    "bookValue": "priceInfo.bookValue",
+    "priceToBook": "priceInfo.pbRatio",
+    "marketCap": "metadata.marketCap",
     "faceValue": "securityInfo.faceValue",
-    "issuedSize": "securityInfo.issuedSize",
+    "industryPE": "metadata.pdSectorInd",
+    "deliveryToTradedQty": "tradeInfo.deliveryToTradedQuantity",
 }
 
-QUOTE_SCHEMA = T.StructType([
-    T.StructField("priceInfo", T.StructType([
-        T.StructField("lastPrice", T.StringType()), T.StructField("open", T.StringType()),
-        T.StructField("previousClose", T.StringType()), T.StructField("change", T.StringType()),
-        T.StructField("pChange", T.StringType()),
-        T.StructField("weekHighLow", T.StructType([T.StructField("max", T.StringType()),
-                                                   T.StructField("min", T.StringType())]))])),
-    T.StructField("metadata", T.StructType([T.StructField("pdSymbolPe", T.StringType()),
-                                            T.StructField("pdSectorPe", T.StringType())])),
-    T.StructField("securityInfo", T.StructType([T.StructField("marketCap", T.StringType()),
-                                                T.StructField("faceValue", T.StringType()),
-                                                T.StructField("issuedSize", T.StringType())])),
-])
+
+def _leaves(prefix: str) -> T.StructType:
+    """The part of the document under a path that the metrics read, as text."""
+    names = dict.fromkeys(p[len(prefix):].split(".")[0] for p in QUOTE_METRIC_PATHS.values() if p.startswith(prefix))
+    return T.StructType([T.StructField(n, T.StringType() if prefix + n in QUOTE_METRIC_PATHS.values()
+                                       else _leaves(f"{prefix}{n}.")) for n in names])
+
+
+QUOTE_SCHEMA = _leaves("")
 
 
 def quote_json_to_metrics(df: DataFrame, json_col: str = "quote_json",

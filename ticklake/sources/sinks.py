@@ -166,7 +166,7 @@ def merge_into_path(spark: SparkSession, path: str, updates: DataFrame, keys: Se
     with dynamic partition overwrite.
     """
     if not path_exists(spark, path):
-        w = updates.write.mode("overwrite")
+        w = updates.dropDuplicates(list(keys)).write.mode("overwrite")
         if partition_cols:
             w = w.partitionBy(*partition_cols)
         w.parquet(path)

@@ -75,11 +75,11 @@ def dedupe_messages(parsed: DataFrame, keys=("ticker", "trade_date"), event_time
 
 def dedupe_stream_to(spark: SparkSession, source: dict, path: str, checkpoint: str,
                      keys=("ticker", "trade_date")) -> None:
-    """I3 as a bounded stream: valid messages de-duplicated on ``keys`` and
+    """I3 as a bounded stream: whole valid messages, one per ``keys``,
     appended to ``path`` (parquet)."""
     parsed = parse_messages(read_price_stream(spark, source))
     valid, _ = split_valid_dead(parsed)
-    out = dedupe_messages(valid, keys).select(*keys)
+    out = dedupe_messages(valid, keys)
     q = (out.writeStream.format("parquet").outputMode("append").option("path", path)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
