@@ -1,8 +1,8 @@
 """ticklake: daily market data and news analytics as Spark DataFrame operators.
 
 Every public operator is a plain ``DataFrame -> DataFrame`` (or
-``Column -> Column``) function.  Nothing is collected to the driver; the
-work is expressed with the DataFrame API so Catalyst can push filters and
+``Column -> Column``) function.  Only scalars (a newest date, a count)
+and a few bounded lists reach the driver; the work is expressed with the DataFrame API so Catalyst can push filters and
 projections into the Parquet scan and AQE can size shuffles at run time.
 """
 

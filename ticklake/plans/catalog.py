@@ -32,9 +32,10 @@ def clean_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ind.clean_bars(fx.bars(spark, sf_dir))
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver prices: bars -> B5 clean -> E12 enrich."""
-    return ind.enrich_bars(clean_bars(spark, sf_dir), eps=TIE_EPS)
+def prices(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Silver prices: bars -> B5 clean -> E12 enrich; only ``columns`` if any
+    are named (the grouped map and the windows they do not need fall away)."""
+    return ind.enrich_bars(clean_bars(spark, sf_dir), eps=TIE_EPS, columns=columns or None)
 
 
 def recent_clean_dates(spark: SparkSession, sf_dir: str, n: int = views.RECENT_DATES) -> DataFrame:
@@ -136,18 +137,18 @@ def q_sector_momentum(spark, sf_dir):
 
 @query("portfolio_risk")
 def q_portfolio_risk(spark, sf_dir):
-    return views.portfolio_risk(prices(spark, sf_dir), eps=TIE_EPS, calendar=recent_clean_dates(spark, sf_dir))
+    return views.portfolio_risk(prices(spark, sf_dir, "symbol", "trade_date", "log_return"), eps=TIE_EPS, calendar=recent_clean_dates(spark, sf_dir))
 
 
 @query("market_proxy")
 def q_market_proxy(spark, sf_dir):
-    m = views.market_proxy(prices(spark, sf_dir), n_dates=None)
+    m = views.market_proxy(prices(spark, sf_dir, "trade_date", "log_return"), n_dates=None)
     return m.select("trade_date", F.round(F.col("market_log_return") + TIE_EPS, 8).alias("market_log_return"))
 
 
 @query("return_moments")
 def q_return_moments(spark, sf_dir):
-    return views.return_moments(prices(spark, sf_dir), eps=TIE_EPS)
+    return views.return_moments(prices(spark, sf_dir, "symbol", "daily_return"), eps=TIE_EPS)
 
 
 @query("recent_breadth")
@@ -489,7 +490,8 @@ def q_statement_guard(spark, sf_dir):
 
 @query("quote_metrics")
 def q_quote_metrics(spark, sf_dir):
-    last = views.latest_bars(prices(spark, sf_dir))
+    last = views.latest_bars(prices(spark, sf_dir, "symbol", "trade_date", "open_price", "low_price", "close_price",
+                                    "volume", "daily_return", "high_52w", "low_52w", "normalised_close"))
     dash = F.pmod("symbol", F.lit(5)) == 0
     text = lambda c: c.cast("string")
     doc = F.to_json(F.struct(

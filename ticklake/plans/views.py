@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions.numeric import rnd
@@ -37,7 +37,7 @@ def market_pulse(prices: DataFrame, eps: float = 0.0) -> DataFrame:
 
 def latest_bars(prices: DataFrame) -> DataFrame:
     """The current-quote row per symbol (newest trade_date)."""
-    return latest_per_key(prices.select(*ENRICHED_COLUMNS), ["symbol"], ["trade_date"])
+    return latest_per_key(prices.select(*[c for c in ENRICHED_COLUMNS if c in prices.columns]), ["symbol"], ["trade_date"])
 
 
 def current_dim(dim: DataFrame) -> DataFrame:
@@ -92,11 +92,13 @@ def portfolio_risk(prices: DataFrame, eps: float = 0.0, n_dates: int = RECENT_DA
     """20-day annualised volatility, beta against the equal-weight market
     and a Sharpe proxy, for symbols with at least 5 observations.
 
-    The market proxy (D6) is a window average per date over the restricted
-    rows, so the prices are consumed once; then one aggregate per symbol.
+    The market proxy (D6) is an aggregate per date, pre-aggregated before
+    its shuffle and joined back as a broadcast of at most ``n_dates`` rows;
+    then one aggregate per symbol.
     """
     p = restrict_to_recent_dates(prices, n_dates, calendar=calendar).filter(F.col("log_return").isNotNull())
-    j = p.withColumn("market_log_return", F.avg("log_return").over(Window.partitionBy("trade_date")))
+    proxy = p.groupBy("trade_date").agg(F.avg("log_return").alias("market_log_return"))
+    j = p.join(F.broadcast(proxy), "trade_date")
     lr, mr = F.col("log_return"), F.col("market_log_return")
     s = j.groupBy("symbol").agg(
         F.count(lr).alias("obs_count"),
