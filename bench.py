@@ -21,7 +21,8 @@ from ticklake.session import build_session  # noqa: E402
 HEADLINE = [
     "daily_bars", "enriched_prices", "market_pulse", "rsi_simple", "sector_momentum", "portfolio_risk",
     "stock_summary", "fact_prices", "integrity_report", "news_sentiment_7d", "enrich_news",
-    "chunk_text", "cosine_topk", "bronze_valid", "market_hours",
+    "chunk_text", "cosine_topk", "bronze_valid", "market_hours", "quote_metrics", "live_overlay", "append_live_bar",
+    "merge_prices", "price_contract", "rag_context", "stream_bronze",
 ]
 
 
