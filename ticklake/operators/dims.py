@@ -130,3 +130,10 @@ def load_fact_fundamentals(fund: DataFrame, dim: DataFrame) -> DataFrame:
 def promote_fundamentals(raw: DataFrame) -> DataFrame:
     """Newest report period per (symbol, metric_name)."""
     return latest_per_key(raw, ["symbol", "metric_name"], ["report_period", "metric_value"])
+
+
+def upsert_fundamentals(silver: DataFrame, raw: DataFrame) -> DataFrame:
+    """K15 + A10: the newest values of ``raw`` replace silver's; other rows stay."""
+    from ticklake.sources.sinks import upsert_overwrite
+    return upsert_overwrite(silver, promote_fundamentals(raw), ["symbol", "metric_name"],
+                            ["report_period", "metric_value"])

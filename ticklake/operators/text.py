@@ -17,7 +17,7 @@ LABEL_SIGN = {"positive": 1.0, "negative": -1.0, "neutral": 0.0}
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the smallest ``order`` per key (one hash aggregate,
+    """The row with the smallest ``order`` per key (one grouped aggregate,
     partial before the shuffle)."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]

@@ -69,8 +69,10 @@ def cosine_topk(queries: DataFrame, docs: DataFrame, k: int = TOP_K, *,
     Returns (query_id, doc_id, rank, similarity, distance = 1 - similarity);
     ties are broken by the smaller doc_id.
     """
-    nq = max(1, math.ceil(queries.count() / block_rows))
-    nd = max(1, math.ceil(docs.count() / block_rows))
+    # as many blocks as bound their size, and enough pairs of blocks for the tasks there are
+    spread = math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism))
+    nq = max(spread, math.ceil(queries.count() / block_rows))
+    nd = max(spread, math.ceil(docs.count() / block_rows))
     q = queries.select(F.col(query_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
     d = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
     q = (q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(nq)))

@@ -268,9 +268,14 @@ def newest_article(news_df):
     return news_df.agg(F.max("published_at")).first()[0]
 
 
+def articles(spark, sf_dir):
+    """The news without bodies: nothing that follows shuffles or sorts texts."""
+    return fx.news(spark, sf_dir).drop("raw_body")
+
+
 def silver_news(spark, sf_dir):
     """Silver news before enrichment: one row per content hash, no model output."""
-    d = tx.dedupe_news(fx.news(spark, sf_dir))
+    d = tx.dedupe_news(articles(spark, sf_dir))
     return d.select("content_hash", "symbol", "headline", "source", "published_at", "url",
                     F.lit(None).cast("string").alias("summary"),
                     F.lit(None).cast("double").alias("sentiment_score"),
@@ -285,35 +290,35 @@ def q_news_sentiment_7d(spark, sf_dir):
 
 @query("news_dedupe")
 def q_news_dedupe(spark, sf_dir):
-    return tx.dedupe_news(fx.news(spark, sf_dir)).drop("raw_body")
+    return tx.dedupe_news(articles(spark, sf_dir))
 
 
 @query("unenriched_news")
 def q_unenriched_news(spark, sf_dir):
-    return nw.unenriched_news(fx.news(spark, sf_dir), silver_news(spark, sf_dir)).drop("raw_body")
+    return nw.unenriched_news(articles(spark, sf_dir), silver_news(spark, sf_dir))
 
 
 @query("enrichment_batch")
 def q_enrichment_batch(spark, sf_dir):
-    pending = nw.unenriched_news(fx.news(spark, sf_dir), silver_news(spark, sf_dir))
+    pending = nw.unenriched_news(articles(spark, sf_dir), silver_news(spark, sf_dir))
     return nw.enrichment_batch(pending).select("content_hash", "symbol", "doc_id", "published_at")
 
 
 @query("budgeted_batch")
 def q_budgeted_batch(spark, sf_dir):
-    pending = nw.unenriched_news(fx.news(spark, sf_dir), silver_news(spark, sf_dir))
+    pending = nw.unenriched_news(articles(spark, sf_dir), silver_news(spark, sf_dir))
     return nw.budgeted_batch(pending, BUDGET_SPENT).select("content_hash", "symbol", "doc_id", "published_at")
 
 
 @query("news_feed")
 def q_news_feed(spark, sf_dir):
-    n = tx.dedupe_news(fx.news(spark, sf_dir))
+    n = tx.dedupe_news(articles(spark, sf_dir))
     return nw.news_feed(n)
 
 
 @query("enrich_news")
 def q_enrich_news(spark, sf_dir):
-    scores = tx.dedupe_news(fx.news(spark, sf_dir)).select("content_hash", "summary", "sentiment_score")
+    scores = tx.dedupe_news(articles(spark, sf_dir)).select("content_hash", "summary", "sentiment_score")
     return nw.enrich_news(fx.news(spark, sf_dir), silver_news(spark, sf_dir), scores)
 
 
@@ -529,7 +534,7 @@ def q_live_overlay_insights(spark, sf_dir):
 @query("append_live_bar")
 def q_append_live_bar(spark, sf_dir):
     p = prices(spark, sf_dir)
-    today = p.agg(F.date_add(F.max("trade_date"), 1)).first()[0]
+    today = clean_bars(spark, sf_dir).agg(F.date_add(F.max("trade_date"), 1)).first()[0]   # the dates of p
     return live.append_live_bar(p, live.quotes_from_bars(fx.bars(spark, sf_dir)), today)
 
 
@@ -644,10 +649,13 @@ def q_symbol_list(spark, sf_dir):
 @query("price_history")
 def q_price_history(spark, sf_dir):
     """F6 (B7 + B8): the last 30 days of bars for one sector's companies."""
-    p = prices(spark, sf_dir)
-    hi = clean_bars(spark, sf_dir).agg(F.max("trade_date")).first()[0]
+    bars = clean_bars(spark, sf_dir)
+    hi = bars.agg(F.max("trade_date")).first()[0]
     asia = dim_companies(spark, sf_dir).filter(F.col("is_current") & (F.col("sector") == "ASIA")).select("symbol")
-    return views.price_history(p, asia, hi, 30).select("symbol", "trade_date", "close_price", "sma_20", "rsi_14")
+    # indicators are per symbol: other companies' bars go before they are computed
+    columns = ("symbol", "trade_date", "close_price", "sma_20", "rsi_14")
+    p = ind.enrich_bars(cl.filter_symbols(bars, asia), eps=TIE_EPS, columns=columns)
+    return views.price_history(p, asia, hi, 30).select(*columns)
 
 
 @query("run_audit")
@@ -670,7 +678,7 @@ def _news_company(df):
 @query("fact_news_sentiment")
 def q_fact_news_sentiment(spark, sf_dir):
     """News sentiment facts keyed by day and the company version in force."""
-    n = _news_company(tx.dedupe_news(fx.news(spark, sf_dir)))
+    n = _news_company(tx.dedupe_news(articles(spark, sf_dir)))
     d = dim_companies(spark, sf_dir).select("symbol", F.col("version").alias("company_version"),
                                             "effective_from", "effective_to")
     day = F.to_date("published_at")
@@ -684,7 +692,7 @@ def q_fact_news_sentiment(spark, sf_dir):
 def q_vector_upsert(spark, sf_dir):
     """The vector store after yesterday's load (articles before the
     midpoint of the news span) is upserted with all of today's records."""
-    n = tx.dedupe_news(fx.news(spark, sf_dir))
+    n = tx.dedupe_news(articles(spark, sf_dir))
     vec = fx.vectors(spark, sf_dir).select(F.col("vec_id").alias("doc_id"), "embedding")
     b = n.agg(F.min("published_at").alias("lo"), F.max("published_at").alias("hi")).first()
     mid = b["lo"] + (b["hi"] - b["lo"]) / 2
@@ -698,3 +706,134 @@ def q_summary_snapshot(spark, sf_dir):
     """F8: the gold summary rows of one sector's current companies."""
     europe = dim_companies(spark, sf_dir).filter(F.col("is_current") & (F.col("sector") == "EUROPE")).select("symbol")
     return earnings.summary_snapshot(summary_frame(spark, sf_dir), europe)
+
+
+# ------------------------------------------------------------------ checks that find something, round trips, upserts
+LOST_COMPANIES = 7         # fixture: the dimension has lost every seventh company
+LOST_DAY = 13              # fixture: the calendar has lost this day of each month
+STORED_LANGS = ("en", "de")     # fixture: the languages that an earlier load has stored
+EARLIER = "1996-12-31"     # fixture: what an earlier load has seen
+
+
+@query("integrity_faults")
+def q_integrity_faults(spark, sf_dir):
+    """K3-K7 (C7, C8, G4) over a star schema with companies and days missing."""
+    from ticklake.session import materialize
+    silver = materialize(price_facts_input(spark, sf_dir), "silver")
+    d = dim_companies(spark, sf_dir, stored=True)
+    return quality.integrity_report(
+        dims.load_fact_prices(silver, d), d.filter(F.pmod("symbol", F.lit(LOST_COMPANIES)) != 0),
+        dim_date(spark, sf_dir).filter(F.dayofmonth("full_date") != LOST_DAY), silver)
+
+
+@query("news_contract")
+def q_news_contract(spark, sf_dir):
+    """K9 on the raw news, which breaks most of its rules."""
+    from ticklake.sources.tables import read_table
+    return quality.contract_report(
+        articles(spark, sf_dir), "bronze.news", not_null=["summary", "sentiment_score"],
+        unique=[["url"], ["content_hash"]], checks={"sentiment_positive": F.col("sentiment_score") > 0},
+        max_length={"headline": 40}, foreign_keys=[("doc_id", read_table(spark, sf_dir, "labels", "doc_id"), "doc_id")])
+
+
+@query("embedding_checks")
+def q_embedding_checks(spark, sf_dir):
+    """Another dimension, another model, and a store without a record."""
+    v = fx.vectors(spark, sf_dir)
+    record = spark.range(1).select(F.lit("minilm").alias("model_name"), F.lit(64).alias("dimension"))
+    cases = {"other_dimension": (record, "minilm", 128), "other_model": (record, "mpnet", 64),
+             "first_run": (record.filter("dimension < 0"), "minilm", 64)}
+    parts = [quality.embedding_compat(v, meta, model, dim).withColumn("case", F.lit(name))
+             for name, (meta, model, dim) in cases.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("unenriched_news_stored")
+def q_unenriched_news_stored(spark, sf_dir):
+    """C2 against a silver table with complete, half complete and missing articles."""
+    silver = tx.dedupe_news(articles(spark, sf_dir)).filter(F.col("source").isin(*STORED_LANGS))
+    return nw.unenriched_news(articles(spark, sf_dir), silver).select("content_hash", "doc_id", "symbol")
+
+
+@query("news_refresh")
+def q_news_refresh(spark, sf_dir):
+    """F1 refresh: articles in the feed get summary and sentiment and keep the rest."""
+    n = tx.dedupe_news(articles(spark, sf_dir))
+    feed = (nw.news_feed(n).filter(F.col("source").isin(*STORED_LANGS))
+            .withColumns({"source": F.lit("stored"), "summary": F.lit(None).cast("string")}))
+    return nw.refresh_news_feed(feed, n)
+
+
+@query("fundamentals_upsert")
+def q_fundamentals_upsert(spark, sf_dir):
+    """K15 with its upsert: an earlier load's metrics, then the later reports."""
+    raw = fx.fundamentals(spark, sf_dir)
+    seen = F.col("report_period") <= F.lit(EARLIER).cast("date")
+    return dims.upsert_fundamentals(dims.promote_fundamentals(raw.filter(seen)), raw.filter(~seen))
+
+
+@query("earnings_upsert")
+def q_earnings_upsert(spark, sf_dir):
+    """L10 with its upsert: an earlier run's reports, then today's."""
+    raw = fx.fundamentals(spark, sf_dir)
+    stored = earnings.earnings_report(raw.filter(F.col("report_period") <= F.lit(EARLIER).cast("date")))
+    return earnings.upsert_reports(stored, earnings.earnings_report(raw))
+
+
+@query("csv_export")
+def q_csv_export(spark, sf_dir):
+    """The companies as CSV, read back."""
+    import uuid
+    from ticklake.session import scratch_path
+    c, path = fx.companies(spark, sf_dir), scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    sinks.export_csv(c, path)
+    return spark.read.schema(c.schema).option("header", "true").csv(path)
+
+
+@query("bronze_batch")
+def q_bronze_batch(spark, sf_dir):
+    """The messages as a bounded scan, appended to bronze and read back typed."""
+    base = spool_messages(spark, sf_dir)
+    raw = src.read_price_batch(spark, {"format": "text", "path": base + "/in"})
+    valid, _ = cl.split_valid_dead(ingest.parse_messages(raw))
+    sinks.write_bronze_batch(valid, base + "/bronze")
+    return src.read_bronze_prices(spark, base + "/bronze").drop("ingested_at")
+
+
+@query("stream_two_sinks")
+def q_stream_two_sinks(spark, sf_dir):
+    """A3, A4, I4: one query per sink, each run again from its checkpoint
+    (which must add nothing)."""
+    base = spool_messages(spark, sf_dir)
+    for _ in range(2):
+        parsed = ingest.parse_messages(src.read_price_stream(spark, {"format": "text", "path": base + "/in"}))
+        valid, dead = cl.split_valid_dead(parsed)
+        runs = [sinks.write_bronze_stream(valid, base + "/bronze", base + "/ck1", {"availableNow": True}),
+                sinks.write_dead_letter_stream(dead, base + "/dead", base + "/ck2", {"availableNow": True})]
+        for q in runs:
+            q.awaitTermination()
+    part = lambda name: spark.read.parquet(f"{base}/{name}").select(
+        F.lit(name).alias("sink"), "ticker", "trade_date", "close")
+    return part("bronze").unionByName(part("dead"))
+
+
+@query("clean_articles")
+def q_clean_articles(spark, sf_dir):
+    """Articles of vendor shape (nested source, content or description)."""
+    from ticklake.sources.tables import read_table
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    vendor = d.select("doc_id", F.substring_index("text", "\n", 1).alias("title"),
+                      F.struct(F.col("source").alias("name")).alias("source"),
+                      F.when(F.col("lang") == "en", F.col("text")).otherwise("").alias("content"),
+                      F.split_part("text", F.lit("\n"), F.lit(2)).alias("description"))
+    out = cl.require_not_null(cl.clean_articles(vendor), "title", "source_name")
+    return out.select("doc_id", "title", "source_name", F.sha2("body", 256).alias("body_hash"))
+
+
+@query("number_labels")
+def q_number_labels(spark, sf_dir):
+    """H6, H7 over the fundamentals (every seventh company without a value)."""
+    f = fx.fundamentals(spark, sf_dir)
+    value = F.when(F.pmod("symbol", F.lit(7)) != 0, F.col("metric_value"))
+    return f.select("symbol", "report_period", "metric_name", lb.crore_label(value * 1000000).alias("crore"),
+                    lb.pe_label(value).alias("ratio"))

@@ -79,6 +79,14 @@ def earnings_report(fund: DataFrame, summaries: DataFrame | None = None,
         F.length("narrative").alias("raw_text_length"))
 
 
+def upsert_reports(stored: DataFrame, reports: DataFrame) -> DataFrame:
+    """L10 + A10: one report per (ticker, report_date); a newer run replaces
+    its text, and reports of other dates stay."""
+    from ticklake.sources.sinks import upsert_overwrite
+    keys = ["ticker", "report_date"]
+    return upsert_overwrite(stored, reports, keys, [c for c in stored.columns if c not in keys])
+
+
 def attach_metrics(reports: DataFrame, summary: DataFrame) -> DataFrame:
     """Report rows LEFT JOIN the summary on the upper-cased symbol."""
     s = summary.withColumn("_k", F.upper(F.col("symbol").cast("string"))).drop("symbol")

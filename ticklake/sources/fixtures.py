@@ -36,7 +36,7 @@ def _bar_order() -> Column:
 def bars(spark: SparkSession, sf_dir: str, net: bool = False, lineitem: DataFrame | None = None) -> DataFrame:
     """Daily OHLCV bars, one per (symbol = l_suppkey, trade_date = ship day).
 
-    A plain hash aggregate: partial aggregation runs before the shuffle, so
+    One grouped aggregate: partial aggregation runs before the shuffle, so
     a hot supplier costs one partial row per input partition, not a hot task.
     """
     cols = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
@@ -120,14 +120,15 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One article per document; documents repeat headlines across sources.
 
     sentiment_score = (quality - toxic) / 2 where a label exists, else NULL.
-    The labels join is a shuffle join (labels grows with documents).
+    The labels join is a shuffle join (labels grows with documents); headline,
+    hash and summary are derived before it, so that a query without the body
+    shuffles no texts.
     """
     d = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     lab = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     head = headline_of(F.col("text"))
     minutes = F.col("doc_id") * NEWS_MINUTES_PER_DOC          # a long: beyond an int, days carry it
-    return (d.join(lab, "doc_id", "left")
-             .select(F.sha2(head, 256).alias("content_hash"),
+    articles = (d.select(F.sha2(head, 256).alias("content_hash"),
                      F.col("source").alias("symbol"),
                      head.alias("headline"),
                      F.col("lang").alias("source"),
@@ -136,8 +137,10 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(F.lit("https://news.invalid/"), F.col("doc_id").cast("string")).alias("url"),
                      F.col("text").alias("raw_body"),
                      F.nullif(F.trim(F.split_part(F.col("text"), F.lit("\n"), F.lit(2))), F.lit("")).alias("summary"),
-                     ((F.col("quality") - F.col("toxic")) * F.lit(0.5)).cast("double").alias("sentiment_score"),
                      F.col("doc_id")))
+    score = ((F.col("quality") - F.col("toxic")) * F.lit(0.5)).cast("double").alias("sentiment_score")
+    return articles.join(lab, "doc_id", "left").select(
+        *[c for c in articles.columns if c != "doc_id"], score, "doc_id")
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

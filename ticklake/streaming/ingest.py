@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ticklake.functions.clean import add_date_columns, canonical_symbol, decode_price_json, split_valid_dead
 from ticklake.sources.prices import read_price_stream
-from ticklake.sources.sinks import BRONZE_PARTITIONS, MICRO_BATCH
+from ticklake.sources.sinks import BRONZE_PARTITIONS, MICRO_BATCH, clustered
 
 BATCH_COL = "batch_id"
 WATERMARK = "1 day"
@@ -33,7 +33,7 @@ def _write_batch(bronze_path: str, dead_path: str):
         parsed = parse_messages(batch).withColumn(BATCH_COL, F.lit(batch_id)).persist()
         try:
             valid, dead = split_valid_dead(parsed)
-            (valid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (clustered(valid).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                   .partitionBy(*BRONZE_PARTITIONS, BATCH_COL).parquet(bronze_path))
             (dead.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy(BATCH_COL).parquet(dead_path))
