@@ -17,7 +17,7 @@ FAST = ["daily_bars", "enriched_prices", "market_pulse", "rsi_simple", "portfoli
         "bronze_valid", "market_hours", "earnings_report", "live_overlay", "quote_metrics",
         "integrity_faults", "news_contract", "embedding_checks", "unenriched_news_stored", "news_refresh",
         "fundamentals_upsert", "earnings_upsert", "csv_export", "bronze_batch", "stream_two_sinks", "clean_articles",
-        "number_labels"]
+        "number_labels", "run_audit_log"]
 
 
 def _norm(v):

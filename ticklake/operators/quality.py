@@ -9,7 +9,8 @@ global window.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -203,6 +204,21 @@ def audit_row(spark, task: str, run_date, status: str, read: int, written: int,
     ).withColumn("run_date", F.to_date("run_date")).withColumn("recorded_at", F.current_timestamp())
 
 
+def audited(spark, path: str, task: str, run_date, action: Callable[[], tuple[int, int]]) -> None:
+    """Run ``action``, which returns the rows read and written, and
+    append its audit row to the log at ``path``: status ``success``, or
+    ``failed`` with the error, which then goes on to the caller."""
+    started, counts, error = datetime.now(UTC).replace(tzinfo=None), (0, 0), None
+    try:
+        counts = action()
+    except Exception as e:
+        error = f"{type(e).__name__}: {e}"
+        raise
+    finally:
+        (audit_row(spark, task, run_date, "failed" if error else "success", *counts, error)
+         .withColumn("started_at", F.lit(started)).write.mode("append").parquet(path))
+
+
 def embedding_compat(vectors: DataFrame, meta: DataFrame, model: str, dim: int,
                      vec: str = "embedding") -> DataFrame:
     """Stored model/dimension vs the current one, plus a scan for

@@ -837,3 +837,27 @@ def q_number_labels(spark, sf_dir):
     value = F.when(F.pmod("symbol", F.lit(7)) != 0, F.col("metric_value"))
     return f.select("symbol", "report_period", "metric_name", lb.crore_label(value * 1000000).alias("crore"),
                     lb.pe_label(value).alias("ratio"))
+
+
+@query("run_audit_log")
+def q_run_audit_log(spark, sf_dir):
+    """A run that succeeds and one that fails, both appended to the log."""
+    import uuid
+    from ticklake.session import scratch_path
+    from ticklake.sources.tables import read_table
+    log = scratch_path(spark, f"audit-{uuid.uuid4().hex}")
+    li = read_table(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate")
+
+    def days_from(start):
+        rows = li.filter(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
+        n = rows.count()
+        if not n:
+            raise ValueError("no rows from that day on")
+        return n, rows.distinct().count()
+
+    quality.audited(spark, log, "count_days", "1996-01-01", lambda: days_from("1996-01-01"))
+    try:
+        quality.audited(spark, log, "count_days", "2999-01-01", lambda: days_from("2999-01-01"))
+    except ValueError:
+        pass                                       # the log has it
+    return spark.read.parquet(log).drop("recorded_at", "started_at")
