@@ -98,6 +98,36 @@ def test_tree_marginals_are_exact():
     assert np.allclose(field.marginals(x, edges, rounds=60), want, atol=1e-6)
 
 
+def steady_field():
+    """Only a leading + speaks for a phone; links of neighbours and repeats carry it."""
+    own, pair = np.zeros((pii.N_FEATURES, 5)), np.zeros((pii.N_LINKS, 5, 5))
+    own[3, 4] = 12.0
+    pair[0] = pair[1] = 8.0 * np.eye(5)
+    return pii.Field(own, pair)
+
+
+def test_a_repeat_far_away_is_found():
+    text = "+1 2795550216" + " or maybe 2795550216" * 60
+    base, every = pii.label_texts([text], steady_field())[0]
+    assert len(base) == 1 and len(every) == 61
+    assert all(k == 3 and text[s:e].endswith("2795550216") for s, k, e in every)
+
+
+def test_numbers_are_told_by_their_joined_digits():
+    text = "+1 (279) 555-0216 then 279-555-0216 then 2795550216 then (279) 555 0216 but not 2795550217"
+    found = [text[s:e] for s, _, e in pii.label_texts([text], steady_field())[0][1]]
+    assert found == ["+1 (279) 555-0216", "279-555-0216", "2795550216", "(279) 555 0216"]
+
+
+def test_messages_pass_until_they_rest():
+    own, pair = np.zeros((pii.N_FEATURES, 5)), np.zeros((pii.N_LINKS, 5, 5))
+    own[1, 1], pair[2] = 12.0, 8.0 * np.eye(5)
+    x = np.zeros((14, pii.N_FEATURES))
+    x[0, 1] = 1
+    odds = pii.Field(own, pair).marginals(x, np.array([[2, i, i + 1] for i in range(13)]))
+    assert (odds[:, 1] > 0.97).all()
+
+
 def test_empty_table(frame):
     df = frame([], "doc_id long, text string, spans string")
     assert pii.find(df, pii.train(df)).count() == 0
