@@ -128,6 +128,29 @@ def test_messages_pass_until_they_rest():
     assert (odds[:, 1] > 0.97).all()
 
 
+def listed(text, kind):
+    """What the spans hold if every candidate token is surely of the kind."""
+    tokens, base = pii.candidates(text), pii.base_spans(text)
+    odds = np.zeros((len(tokens), pii.N_LABELS))
+    odds[:, 1 + pii.KINDS.index(kind)] = 1
+    return [text[s:e] for s, _, e in sorted(base + pii.further_spans(text, tokens, odds, base))]
+
+
+def test_a_list_is_one_span_per_entity():
+    phones = ["(279) 555-0216", "(279) 555-0217", "(279) 555-0218"]
+    assert listed("+1 " + ", ".join(phones), "phone") == ["+1 " + phones[0], *phones[1:]]
+    for between in (", ", " ", "\n", "; ", ",\n"):
+        assert listed(between.join(phones), "phone") == phones
+        assert listed(between.join(p[1:4] + p[5:] for p in phones), "phone") == [p[1:4] + p[5:] for p in phones]
+    assert listed("279 555 0216 279 555 0217", "phone") == ["279 555 0216", "279 555 0217"]
+    assert listed("06 12 34 56 78", "phone") == ["06 12 34 56 78"]
+    assert listed("a@b, c@d e@f", "email") == ["a@b", "c@d", "e@f"]
+    cards = ["4111.1111.1111.1111", "5555.5555.5555.4444"]
+    assert listed(" ".join(cards), "card") == cards
+    cards = [c.replace(".", ". ") for c in cards]
+    assert listed(" ".join(cards), "card") == cards
+
+
 def test_empty_table(frame):
     df = frame([], "doc_id long, text string, spans string")
     assert pii.find(df, pii.train(df)).count() == 0

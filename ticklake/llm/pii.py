@@ -11,8 +11,9 @@ occurrence to the next, so a token repeated a thousand times costs a
 thousand links.  Loopy belief propagation (sum-product, damped) gives each
 token's label odds in the light of its whole document, so that an entity
 the patterns see in one place is found where its other mentions escape
-them.  Runs of tokens with a sure label become further spans where they
-touch no base span and hold what their kind must hold; base spans stay.
+them.  Runs of tokens with a sure label that no base span touches become
+further spans if they hold what their kind must hold, split where an entity
+is whole and the next begins; base spans stay.
 
 The weights are learned by pseudo-likelihood from the base spans of at most
 ``TRAIN_DOCS`` documents (smallest hash of id and text; a document of over
@@ -48,6 +49,7 @@ SPACE = re.compile(r"\s")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 NUMBER_DIGITS = (7, 19)          # of numbers that are told by their digits
 LEAST_DIGITS = {"email": 0, "ip": 4, "card": 12, "phone": 7}
+MOST_DIGITS = {"email": 0, "ip": 12, "card": 19, "phone": 15}
 N_LABELS = len(KINDS) + 1
 N_LINKS = 3                      # neighbour, same, alike
 
@@ -276,16 +278,33 @@ def graph(text: str) -> tuple[list, list, np.ndarray, list]:
     return spans, tokens, np.array([token_features(text[s:e]) for s, e in tokens], dtype=bool), links(text, tokens)
 
 
+def starts_anew(k: int, run: str, token: str, gap: str) -> bool:
+    """Whether a token begins an entity of kind k after the run of tokens of
+    that kind: the run must be whole, and the token be set off from it."""
+    name, had, more = KINDS[k], NOT_DIGIT.sub("", run), NOT_DIGIT.sub("", token)
+    if name == "email":
+        return "@" in run and "@" in token
+    if len(had) < LEAST_DIGITS[name]:
+        return False
+    first, last = run.split(maxsplit=1)[0], run.rsplit(maxsplit=1)[-1]
+    whole = len(had) >= 10 if name == "phone" else name == "ip" or 14 <= len(had) <= 19 and luhn(had)
+    return (last[-1] in ",;|/" or "\n" in gap or len(had) + len(more) > MOST_DIGITS[name]
+            or len(NOT_DIGIT.sub("", last)) >= LEAST_DIGITS[name]
+            or name == "phone" and token.lstrip("\"'[<")[:1] in ("+", "(")
+            or whole and (name != "phone" or shape_key(token) == shape_key(first)))
+
+
 def further_spans(text: str, tokens: list, odds: np.ndarray, spans: list) -> list[tuple[int, int, int]]:
-    """Runs of neighbouring tokens with one sure label, clear of base spans."""
+    """Runs of neighbouring tokens with one sure label, an entity each.
+    Tokens that base spans touch are in no run, so a base span ends one."""
     label = np.where(odds.max(axis=1) >= SURE, odds.argmax(axis=1), 0)
+    label[np.array(token_labels(tokens, spans), int) > 0] = 0
     out, i = [], 0
-    taken = sorted((s, e) for s, _, e in spans)
-    starts = [s for s, _ in taken]
-    reach = np.maximum.accumulate([e for _, e in taken]).tolist() if taken else []
     while i < len(tokens):
         k, j = int(label[i]), i + 1
-        while j < len(tokens) and label[j] == k and tokens[j][0] - tokens[j - 1][1] <= 2:
+        while (k and j < len(tokens) and label[j] == k and tokens[j][0] - tokens[j - 1][1] <= 2
+               and not starts_anew(k - 1, text[tokens[i][0]:tokens[j - 1][1]], text[slice(*tokens[j])],
+                                   text[tokens[j - 1][1]:tokens[j][0]])):
             j += 1
         if k:
             s, e = tokens[i][0], tokens[j - 1][1]
@@ -293,10 +312,8 @@ def further_spans(text: str, tokens: list, odds: np.ndarray, spans: list) -> lis
             s += len(body) - len(body.lstrip(".,;:!?*#$%&|\"')[]<>-"))
             e -= len(body) - len(body.rstrip(".,;:!?*#$%&|\"'([]<>-+@"))
             name = KINDS[k - 1]
-            fits = (s < e and len(NOT_DIGIT.sub("", text[s:e])) >= LEAST_DIGITS[name]
-                    and ("@" in text[s:e]) == (name == "email"))
-            before = int(np.searchsorted(starts, e, "left"))
-            if fits and not (before and reach[before - 1] > s):
+            if (s < e and len(NOT_DIGIT.sub("", text[s:e])) >= LEAST_DIGITS[name]
+                    and ("@" in text[s:e]) == (name == "email")):
                 out.append((s, k - 1, e))
         i = j
     return out
