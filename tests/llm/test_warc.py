@@ -30,6 +30,20 @@ def test_records(frame):
     assert meta["payload_digest"] == "sha256:" + hashlib.sha256(HTML.encode()).hexdigest()
 
 
+def test_every_source_header_is_kept(frame):
+    heads = ("HTTP/1.1 301 Moved\r\nServer: x/1\r\nDate: Sat, 01 Jan 2000 00:00:00 GMT\r\nSet-Cookie: a=1\r\n"
+             "Content-Type: text/html\r\nset-cookie:b=2; at=10:30\r\nX-Long: one\r\n  two\r\nno header\r\n"
+             "Content-Length: 0\r\nLocation: http://e.com/y\r\n\r\n")
+    schema = "source_id long, record_id string, target_uri string, date string, http_headers string, payload string"
+    rows = [(1, "<urn:uuid:1>", "u", "2000-01-01T00:00:00Z", heads, ""), (2, "<urn:uuid:2>", "u", "d", None, None)]
+    got = {r["source_id"]: r["block"] for r in warc.derive(frame(rows, schema)).collect() if r["kind"] == "metadata"}
+    assert got[1].split("\r\ntitle: ")[0].split("\r\n") == [
+        "http-status: 301", "http-server: x/1", "http-date: Sat, 01 Jan 2000 00:00:00 GMT", "http-set-cookie: a=1",
+        "http-content-type: text/html", "http-set-cookie: b=2; at=10:30", "http-x-long: one two",
+        "http-malformed: no header", "http-content-length: 0", "http-location: http://e.com/y"]
+    assert got[2].startswith("http-status: \r\ntitle: \r\n")
+
+
 def test_odd_inputs(frame):
     rows = [(None, None, None, ""), (2, "u", "", ""), (2, "u", "", ""), (3, "u", "<p>a " * 50_000, ""),
             (4, "u", "<script>never closed", "")]

@@ -2,8 +2,8 @@
 
 ``derive`` takes response records (identifier, target URI, date, HTTP header
 block, payload) and gives two records for each: a *metadata* record
-(application/warc-fields: source headers, title, language, out-links,
-payload digest) and a *conversion* record (text/plain).  Both carry the
+(application/warc-fields: status and every source header, title, language,
+payload digest, out-links) and a *conversion* record (text/plain).  Both carry the
 response's identifier in WARC-Refers-To, its target URI and date, and their
 own block digest; the conversion also names the response's payload digest.
 Identifiers are derived from the response's, so a repeated run gives the
@@ -68,18 +68,34 @@ def plain_text(html: Column) -> Column:
 
 def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
               date: str = "2000-01-01T00:00:00Z") -> DataFrame:
-    """Response records of crawled pages, which hold no headers of their own."""
+    """Response records of crawled pages, which hold no headers of their own:
+    a status line and a Content-Type stand in for them."""
     html = F.coalesce(F.col(html_col), F.lit(""))
     name = F.concat(F.lit("response:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"),
                     F.coalesce(F.col(url_col), F.lit("")))
     return pages.select(
         F.col(id_col).alias("source_id"), urn(name).alias("record_id"), F.col(url_col).alias("target_uri"),
         F.lit(date).alias("date"),
-        F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
-                 F.octet_length(html).cast("string"), F.lit(CRLF)).alias("http_headers"),
+        F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}").alias("http_headers"),
         html.alias("payload"))
 
 
+def header_fields(heads: Column) -> Column:
+    """Every header of a block as a field http-<name in lower case>, in order,
+    repeats included; folded lines are joined, a line that is no header goes to
+    http-malformed."""
+    lines = F.filter(F.split(replace_all(heads, "\\r?\\n[ \\t]+", " "), "\\r\\n|\\r|\\n"),
+                     lambda x, i: (x != "") & ~((i == 0) & x.startswith("HTTP/")))
+
+    def field(x: Column) -> Column:
+        colon = F.instr(x, ":")
+        name = F.trim(F.substring(x, F.lit(1), colon - 1))
+        return F.concat(F.lit("http-"), F.when(name != "", F.lower(name)).otherwise("malformed"), F.lit(": "),
+                        F.trim(F.when(name != "", F.substring(x, colon + 1, F.length(x))).otherwise(x)), F.lit(CRLF))
+
+    return F.array_join(F.transform(lines, field), "")
+
+
 def derive(rows: DataFrame) -> DataFrame:
     """source_id, kind, record_id, refers_to, target_uri, payload_digest,
     block_digest, n_bytes, block, record: two rows per response."""
@@ -87,7 +103,7 @@ def derive(rows: DataFrame) -> DataFrame:
     links = F.regexp_extract_all(html, F.lit('(?i)<a [^>]*?href="([^"]*)"'), F.lit(1))
     fields = F.concat(
         F.lit("http-status: "), F.regexp_extract(heads, "^HTTP/[0-9.]+ ([0-9]+)", 1), F.lit(CRLF),
-        F.lit("http-content-type: "), F.regexp_extract(heads, "(?i)content-type: ([^\\r\\n]*)", 1), F.lit(CRLF),
+        header_fields(heads),
         F.lit("title: "), F.trim(replace_all(decode_entities(F.regexp_extract(html, "(?i)<title[^>]*>([^<]*)", 1)),
                                              "[ \\t\\r\\n]+", " ")), F.lit(CRLF),
         F.lit("language: "), F.regexp_extract(html, '(?i)<html[^>]* lang="([^"]*)"', 1), F.lit(CRLF),
