@@ -44,6 +44,25 @@ def test_every_source_header_is_kept(frame):
     assert got[2].startswith("http-status: \r\ntitle: \r\n")
 
 
+def test_links_in_any_quoting_and_all_references(frame):
+    page = ("<title>&Eacute;t&eacute; &#8211; &#x1F600;</title><p>Stra&szlig;e &uuml;&ntilde;&#233; &amp;eacute; &bogus; "
+            "&#128; a&#160;b &#99999999999; &amp</p><a href='/one?a=1&amp;b=&eacute;'>1</a><a\nclass=x href=/two>2</a>"
+            '<a data-href="/no" href = "/three">3</a><A HREF="/four" href="/no">4</A><a data-href="/no">5</a>'
+            '<a title="a > b href=/no" href="\n /fi\nve ">6</a><a/href=/six/>7</a><abbr href="/no">8</abbr><a href="/open>9')
+    got = {r["kind"]: r["block"] for r in warc.derive(warc.responses(frame([(1, "u", page, "")], SCHEMA))).collect()}
+    assert re.findall("outlink: (.*)\r\n", got["metadata"]) == [
+        "/one?a=1&b=é", "/two", "/three", "/four", "/five", "/six/"]
+    assert "title: Été – 😀\r\n" in got["metadata"]
+    assert "Straße üñé &eacute; &bogus; € a b \ufffd &amp\n" in got["conversion"]
+
+
+def test_link_search_stays_linear():
+    for h in ("<a " * 200_000, '<a href="' * 100_000, "<a href='" * 100_001, "<a " + "x='1' " * 100_000, "&" * 400_000,
+              "<a" + " " * 400_000, "<a x" + " =" * 200_000, "&#" + "1" * 400_000 + ";"):
+        warc.links_of(h)
+        warc.decoded(h)
+
+
 def test_odd_inputs(frame):
     rows = [(None, None, None, ""), (2, "u", "", ""), (2, "u", "", ""), (3, "u", "<p>a " * 50_000, ""),
             (4, "u", "<script>never closed", "")]

@@ -10,8 +10,10 @@ Identifiers are derived from the response's, so a repeated run gives the
 same records (a repeated response gives repeated records).
 
 Text: comments, scripts and styles go, block tags become line ends, other
-tags go, named entities are decoded, white space is folded.  An element
-that is never closed is treated as its tags alone.
+tags go, references (numeric, and every name of HTML; one without its
+semicolon stays, as in the SQL) are decoded, white space is folded.  An element
+that is never closed is treated as its tags alone.  Out-links are the href of
+each <a> in any quoting.
 
 ``record`` is the whole record (headers, empty line, block); ``write_warc``
 writes records as gzipped WARC files.  ``responses`` makes response records
@@ -21,16 +23,21 @@ WARC-Target-URI.  Everything is one pass without a shuffle.
 
 from __future__ import annotations
 
+import re
+from html import unescape
+from html.entities import html5
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
 BLOCK_TAGS = ("p|br|div|li|ul|ol|h1|h2|h3|h4|h5|h6|article|section|nav|footer|header|main|table|tr|title|head|body|"
               "html|blockquote|pre")
-# Named entities of HTML; the ampersand comes last.
-ENTITIES = [("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"),
-            ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"),
-            ("&euro;", "€"), ("&laquo;", "«"), ("&raquo;", "»"), ("&amp;", "&")]
+REFERENCE = re.compile(r"&(#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]*+);")
+LINK_TAG = re.compile(r"<a(?=[\s/])", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|((?!["'])[^\s>]++)))?+""")
+URL_EDGE = "".join(map(chr, range(33)))
 
 
 def urn(name: Column) -> Column:
@@ -49,21 +56,69 @@ def replace_all(text: Column, pattern: str, by: str) -> Column:
     return F.regexp_replace(text, F.lit(pattern), F.lit(by))
 
 
-def decode_entities(text: Column) -> Column:
-    for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+def character(found: re.Match) -> str:
+    """What a reference stands for; an unknown name stays."""
+    name = found[1]
+    if name[0] != "#":
+        out = html5.get(name + ";", found[0])
+    else:
+        base = "x" if name[1] in "xX" else ""
+        number = name[1 + len(base):].lstrip("0") or "0"
+        out = unescape(f"&#{base}{number};") if len(number) <= 7 else "\ufffd"
+    return " " if out == "\xa0" else out
+
+
+def decoded(text: str) -> str:
+    return REFERENCE.sub(character, text) if "&" in text else text
+
+
+def links_of(html: str) -> list[str]:
+    """The first href of each <a>, in any quoting, as a URL: decoded, without
+    line ends and tabs, and without white space at its ends."""
+    out, tag = [], LINK_TAG.search(html)
+    while tag:
+        at, link = tag.end(), None
+        while part := ATTRIBUTE.match(html, at):
+            at = part.end()
+            if link is None and part[1].lower() == "href":
+                link = next((v for v in part.groups()[1:] if v is not None), None)
+        if link is not None:
+            out.append(re.sub("[\t\r\n]", "", decoded(link).strip(URL_EDGE)))
+        tag = LINK_TAG.search(html, at)
+    return out
+
+
+def decode_references(text: Column) -> Column:
+    @F.arrow_udf("string")
+    def decode(texts: pa.Array) -> pa.Array:
+        return pa.array([t and decoded(t) for t in texts.to_pylist()], pa.string())
 
+    return decode(text)
 
-def plain_text(html: Column) -> Column:
+
+def out_links(html: Column) -> Column:
+    @F.arrow_udf("array<string>")
+    def links(pages: pa.Array) -> pa.Array:
+        return pa.array([links_of(h or "") for h in pages.to_pylist()], pa.list_(pa.string()))
+
+    return links(html)
+
+
+def bare_text(html: Column) -> Column:
+    """Text without tags, references as they are."""
     text = replace_all(html, "(?s)<!--.*?-->", "")
     text = replace_all(text, "(?is)<script[^>]*>.*?</script>", "")
     text = replace_all(text, "(?is)<style[^>]*>.*?</style>", "")
     text = replace_all(text, f"(?i)</?({BLOCK_TAGS})(/| [^>]*)?>", "\n")
-    text = decode_entities(replace_all(text, "<[a-zA-Z/!][^>]*>", ""))
-    text = replace_all(text, "[ \\t\\r]+", " ")
-    text = replace_all(text, " ?\\n[ \\n]*", "\n")
-    return F.trim(replace_all(replace_all(text, "^\\n+", ""), "\\n+$", ""))
+    return replace_all(text, "<[a-zA-Z/!][^>]*>", "")
+
+
+def folded(text: Column) -> Column:
+    """White space runs as one space or line end, none at the ends; what is
+    one already is no match."""
+    text = replace_all(text, "[\\t\\r][ \\t\\r]*| [ \\t\\r]+", " ")
+    text = replace_all(text, " \\n[ \\n]*|\\n[ \\n]+", "\n")
+    return F.trim(F.btrim(text, F.lit("\n")))
 
 
 def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -100,19 +155,23 @@ def derive(rows: DataFrame) -> DataFrame:
     """source_id, kind, record_id, refers_to, target_uri, payload_digest,
     block_digest, n_bytes, block, record: two rows per response."""
     html, heads = F.coalesce(F.col("payload"), F.lit("")), F.coalesce(F.col("http_headers"), F.lit(""))
-    links = F.regexp_extract_all(html, F.lit('(?i)<a [^>]*?href="([^"]*)"'), F.lit(1))
+    found = rows.select(
+        "source_id", F.col("record_id").alias("refers_to"), "target_uri", "date", heads.alias("heads"),
+        digest(html).alias("payload_digest"),
+        F.regexp_extract(html, '(?i)<html[^>]* lang="([^"]*)"', 1).alias("language"),
+        decode_references(F.regexp_extract(html, "(?i)<title[^>]*>([^<]*)", 1)).alias("title"),
+        out_links(html).alias("links"), decode_references(bare_text(html)).alias("text"))
     fields = F.concat(
-        F.lit("http-status: "), F.regexp_extract(heads, "^HTTP/[0-9.]+ ([0-9]+)", 1), F.lit(CRLF),
-        header_fields(heads),
-        F.lit("title: "), F.trim(replace_all(decode_entities(F.regexp_extract(html, "(?i)<title[^>]*>([^<]*)", 1)),
-                                             "[ \\t\\r\\n]+", " ")), F.lit(CRLF),
-        F.lit("language: "), F.regexp_extract(html, '(?i)<html[^>]* lang="([^"]*)"', 1), F.lit(CRLF),
-        F.lit("payload-digest: "), digest(html), F.lit(CRLF),
-        F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), decode_entities(x), F.lit(CRLF))), ""))
+        F.lit("http-status: "), F.regexp_extract("heads", "^HTTP/[0-9.]+ ([0-9]+)", 1), F.lit(CRLF),
+        header_fields(F.col("heads")),
+        F.lit("title: "), F.trim(replace_all(F.col("title"), "[ \\t\\r\\n]+", " ")), F.lit(CRLF),
+        F.lit("language: "), F.col("language"), F.lit(CRLF),
+        F.lit("payload-digest: "), F.col("payload_digest"), F.lit(CRLF),
+        F.array_join(F.transform("links", lambda x: F.concat(F.lit("outlink: "), x, F.lit(CRLF))), ""))
     both = F.array(F.struct(F.lit("metadata").alias("kind"), fields.alias("block")),
-                   F.struct(F.lit("conversion").alias("kind"), plain_text(html).alias("block")))
-    out = rows.select("source_id", F.col("record_id").alias("refers_to"), "target_uri", "date",
-                      digest(html).alias("payload_digest"), F.explode(both).alias("r")).select(
+                   F.struct(F.lit("conversion").alias("kind"), folded(F.col("text")).alias("block")))
+    out = found.select("source_id", "refers_to", "target_uri", "date", "payload_digest",
+                       F.explode(both).alias("r")).select(
         "source_id", "r.kind", urn(F.concat("r.kind", F.lit(":"), "refers_to")).alias("record_id"), "refers_to",
         "target_uri", "date", "payload_digest", digest(F.col("r.block")).alias("block_digest"),
         F.octet_length("r.block").cast("long").alias("n_bytes"), "r.block")
