@@ -139,3 +139,17 @@ def test_narrative_lines(spark):
     assert n.splitlines()[0] == "TCS Financial Summary"
     assert "• P/E Ratio: 25.50x" in n and "• Market Cap: ₹500 Cr" in n and "• 52-Week Low: ₹1800.00" in n
     assert "• EPS (Earnings Per Share): ₹150.75" in n and "• Sector P/E: 24.00x" in n
+
+
+def test_stored_and_pending_vectors_are_all_articles(spark):
+    from ticklake.plans import news as nw
+    from ticklake.plans.catalog import REGISTRY, articles
+    sf = "/root/testdata/sf0.001"
+    ids = lambda df: sorted(r["id"] for r in df.collect())
+    everything = sorted(r["content_hash"] for r in tx.dedupe_news(articles(spark, sf)).collect())
+    assert sorted(ids(REGISTRY["vector_upsert"](spark, sf)) + ids(REGISTRY["vector_pending"](spark, sf))) == everything
+    a = spark.createDataFrame([("h1", 1), ("h2", 2), ("h3", None)], "content_hash string, doc_id long")
+    a = a.selectExpr("*", "'A' symbol", "'u' url", "timestamp'2024-01-01' published_at", "1.0D sentiment_score",
+                     "'head' headline", "'sum' summary")
+    v = spark.createDataFrame([(1, [1.0])], "doc_id long, embedding array<double>")
+    assert ids(nw.vector_records(a, v)) == ["h1"] and ids(nw.vector_pending(a, v)) == ["h2", "h3"]

@@ -701,6 +701,13 @@ def q_vector_upsert(spark, sf_dir):
     return out.select("id", "document", "metadata.*", F.size("embedding").alias("dims"))
 
 
+@query("vector_pending")
+def q_vector_pending(spark, sf_dir):
+    """The articles that vector_upsert cannot store yet, for lack of a vector."""
+    vec = fx.vectors(spark, sf_dir).select(F.col("vec_id").alias("doc_id"))
+    return nw.vector_pending(tx.dedupe_news(articles(spark, sf_dir)), vec).select("id", "document", "metadata.*")
+
+
 @query("summary_snapshot")
 def q_summary_snapshot(spark, sf_dir):
     """F8: the gold summary rows of one sector's current companies."""

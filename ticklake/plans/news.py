@@ -121,15 +121,24 @@ def mark_processed(silver: DataFrame, done: DataFrame, at) -> DataFrame:
     return upsert_overwrite(silver, d, ["content_hash"], ["embedding_updated_at"]).select(*silver.columns)
 
 
-def vector_records(articles: DataFrame, vectors: DataFrame, id_col: str = "content_hash") -> DataFrame:
-    """(id, document text = H4, metadata with '' / 0.0 defaults, vector)."""
+def _vector_rows(articles: DataFrame, id_col: str) -> DataFrame:
     md = F.struct(F.coalesce(F.col("symbol").cast("string"), F.lit("")).alias("ticker"),
                   F.coalesce(F.col("url"), F.lit("")).alias("url"),
                   F.coalesce(F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("")).alias("published_at"),
                   F.coalesce(F.col("sentiment_score"), F.lit(0.0)).alias("sentiment_score"))
-    a = articles.select(F.col(id_col).alias("id"), doc_text("headline", "summary").alias("document"),
-                        md.alias("metadata"), F.col("doc_id"))
-    return a.join(vectors, "doc_id").drop("doc_id")
+    return articles.select(F.col(id_col).alias("id"), doc_text("headline", "summary").alias("document"),
+                           md.alias("metadata"), F.col("doc_id"))
+
+
+def vector_records(articles: DataFrame, vectors: DataFrame, id_col: str = "content_hash") -> DataFrame:
+    """(id, document text = H4, metadata with '' / 0.0 defaults, vector)
+    of the articles that have a vector; ``vector_pending`` has the others."""
+    return _vector_rows(articles, id_col).join(vectors, "doc_id").drop("doc_id")
+
+
+def vector_pending(articles: DataFrame, vectors: DataFrame, id_col: str = "content_hash") -> DataFrame:
+    """(id, document, metadata) of the articles without a vector."""
+    return _vector_rows(articles, id_col).join(vectors, "doc_id", "left_anti").drop("doc_id")
 
 
 def vector_upsert(store: DataFrame, records: DataFrame) -> DataFrame:
