@@ -153,3 +153,22 @@ def test_stored_and_pending_vectors_are_all_articles(spark):
                      "'head' headline", "'sum' summary")
     v = spark.createDataFrame([(1, [1.0])], "doc_id long, embedding array<double>")
     assert ids(nw.vector_records(a, v)) == ["h1"] and ids(nw.vector_pending(a, v)) == ["h2", "h3"]
+
+
+def test_recombined_chunks_hold_the_whole_text(spark):
+    """Every character of every document reaches the result, against SQL."""
+    import duckdb
+    from oracle.queries import SQL
+    from ticklake.plans.catalog import REGISTRY
+    from ticklake.sources.tables import read_table, table_path
+    sf = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: r for r in REGISTRY["recombine_whole_chunks"](spark, sf).collect()}
+    texts = {r["doc_id"]: r["text"] for r in read_table(spark, sf, "documents", "doc_id", "text").collect() if r["text"]}
+    assert max(map(len, texts.values())) > 3 * 4000 and set(got) == set(texts)
+    for i, t in texts.items():
+        assert got[i]["summary"] == " ".join(t[a:a + 4000] for a in range(0, len(t), 4000))
+        assert got[i]["raw_text_length"] == len(t)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{table_path(sf, 'documents')}'")
+    rows = con.sql(SQL["recombine_whole_chunks"]).fetchall()
+    assert sorted(rows) == sorted((r["doc_id"], r["summary"], r["raw_text_length"]) for r in got.values())

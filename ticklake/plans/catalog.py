@@ -377,6 +377,13 @@ def q_recombine_chunks(spark, sf_dir):
     return tx.recombine_chunks(c, ["doc_id"])
 
 
+@query("recombine_whole_chunks")
+def q_recombine_whole_chunks(spark, sf_dir):
+    """L4 over the whole text: the per-chunk output is the chunk itself."""
+    c = doc_chunks(spark, sf_dir)
+    return tx.recombine_chunks(c.withColumn("chunk_chars", F.length("chunk")), ["doc_id"], part="chunk")
+
+
 @query("text_fallback")
 def q_text_fallback(spark, sf_dir):
     from ticklake.sources.tables import read_table
