@@ -172,3 +172,16 @@ def test_recombined_chunks_hold_the_whole_text(spark):
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{table_path(sf, 'documents')}'")
     rows = con.sql(SQL["recombine_whole_chunks"]).fetchall()
     assert sorted(rows) == sorted((r["doc_id"], r["summary"], r["raw_text_length"]) for r in got.values())
+
+
+def test_event_counter_counts_every_event(spark):
+    import duckdb
+    from oracle.queries import SQL
+    from ticklake.plans.catalog import REGISTRY
+    from ticklake.sources.tables import table_path
+    sf = "/root/testdata/sf0.001"
+    got = sorted(map(tuple, REGISTRY["event_counter"](spark, sf).select("user_id", "count").collect()))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{table_path(sf, 'events')}'")
+    assert got == sorted(con.sql(SQL["event_counter"]).fetchall())
+    assert sum(n for _, n in got) == con.sql("SELECT count(*) FROM events").fetchall()[0][0]

@@ -580,6 +580,17 @@ def q_call_counter(spark, sf_dir):
     return sinks.upsert_increment(clicks, views_, ["user_id"], "count")
 
 
+@query("event_counter")
+def q_event_counter(spark, sf_dir):
+    """A17 over all events: per-user counter of clicks incremented by the
+    day's events of every other type."""
+    from ticklake.sources.tables import read_table
+    e = read_table(spark, sf_dir, "events", "user_id", "event_type")
+    is_click = F.col("event_type").eqNullSafe("click")
+    counts = [e.filter(c).groupBy("user_id").agg(F.count(F.lit(1)).alias("count")) for c in (is_click, ~is_click)]
+    return sinks.upsert_increment(*counts, ["user_id"], "count")
+
+
 # ------------------------------------------------------------------ more sources, reports, facts
 SUMMARY_PRICE_COLS = ("as_of_date", "close_price", "daily_return", "normalised_close", "sma_20", "sma_50", "rsi_14")
 SUMMARY_FUND_COLS = tuple(earnings.SUMMARY_METRICS)
