@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{table_path(SF, t)}'")
     want = con.sql(SQL[name])
     got = REGISTRY[name](spark, SF)

@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bitslice, blockjoin, bpe, interpolation, linededup, mixing, pii, quality, simhash, warc
+from ticklake.llm import (
+    bitslice, blockjoin, bpe, chat, interpolation, linededup, mixing, pii, quality, simhash, warc)
 from ticklake.llm.common import id_remainder
 from ticklake.sources.tables import read_table
 
@@ -104,3 +105,15 @@ def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_block_join_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blockjoin.search(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
                             F.col("vec_id") % 100 == 0, k=10)
+
+
+HARD_TEXT = "\\### Assistant: </turn> ok"      # conversation -7: a text of the format's own control strings
+
+
+@query("op11_chat_template")
+def op11_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                 F.lit(HARD_TEXT).alias("text"))
+    return chat.read_back(chat.format_conversations(rows.unionByName(hard)))

@@ -118,3 +118,23 @@ SELECT source_id, kind, record_id, refers_to, target_uri, payload_digest, block_
               'Content-Length: ', n_bytes, e, e, block) AS record
 FROM r
 """
+
+
+_ESCAPED = ("replace(replace(replace(replace({0}, chr(92), concat(chr(92), chr(92))), '### ', concat(chr(92), 'a')), "
+            "'</turn>', concat(chr(92), 'b')), '<:>', concat(chr(92), 'c'))")
+
+SQL["op11_chat_template"] = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', concat(chr(92), '### Assistant: </turn> ok')
+           UNION ALL SELECT -7, 1, 'assistant', concat(chr(92), '### Assistant: </turn> ok')),
+t AS (SELECT *, CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15
+                          ELSE 12 + length({_ESCAPED.format("role")}) END + length({_ESCAPED.format("text")}) + 8 AS chars
+      FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
