@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm import (
-    bitslice, blockjoin, bpe, chat, interpolation, linededup, mixing, pii, quality, simhash, warc)
+    bitslice, blockjoin, bpe, chat, interpolation, linededup, mixing, pii, quality, simhash, trie, warc)
 from ticklake.llm.common import id_remainder
 from ticklake.sources.tables import read_table
 
@@ -117,3 +117,11 @@ def op11_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                  F.lit(HARD_TEXT).alias("text"))
     return chat.read_back(chat.format_conversations(rows.unionByName(hard)))
+
+
+@query("op13_prefix_trie")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations rebuilt on the first turns of every twentieth one."""
+    c = F.col("conv_id")
+    seqs = trie.sequences(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return trie.prefix_trie(trie.with_heads(seqs, (id_remainder(c, 4)).cast("int"), c - c % 20, longest=3))

@@ -138,3 +138,37 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 (the reflected polynomial 0xEDB88320) of an ASCII text: each byte, then eight shifts."""
+    steps = (f"flatten(list_transform(range(1, length({text}) + 1), lambda i: "
+             f"[ascii(substr({text}, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))")
+    step = ("CASE WHEN o >= 0 THEN xor(c, o) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END")
+    return f"xor(list_reduce({steps}, lambda c, o: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+SQL["op13_prefix_trie"] = f"""
+WITH t AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                                ORDER BY turn NULLS FIRST, role, text) AS ts
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+k AS (SELECT *, {_crc32("conv_id::VARCHAR")} % 4 AS h FROM t),
+r AS (SELECT k.conv_id, list_concat(coalesce(b.ts[1:h], []), k.ts[h + 1:]) AS ts
+      FROM k LEFT JOIN t b ON b.conv_id = k.conv_id - k.conv_id % 20),
+p AS (SELECT conv_id, len(ts) AS size, unnest(range(len(ts) + 1)) AS depth, ts FROM r),
+m AS (SELECT conv_id, size, depth, ts[1:depth] AS prefix, CASE WHEN depth > 0 THEN ts[depth]['text'] ELSE '' END AS word
+      FROM p),
+n AS (SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+             len(regexp_extract_all(any_value(word), '[^\\x20\\x09-\\x0D]+')) AS words,
+             coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = depth), '') AS ends,
+             count(*) FILTER (WHERE size > depth) = 0 AS is_leaf
+      FROM m GROUP BY depth, prefix),
+up AS (SELECT n.*, unnest(range(n.depth + 1)) AS top FROM n),
+s AS (SELECT top AS depth, prefix[1:top] AS prefix, sum((n_convs - 1) * words) AS saved_tokens,
+             count(*) FILTER (WHERE is_leaf) AS n_leaves, count(*) FILTER (WHERE depth = top + 1) AS n_children
+      FROM up GROUP BY top, prefix[1:top])
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, s.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN s ON s.depth = n.depth AND s.prefix = n.prefix
+     LEFT JOIN n q ON q.depth = n.depth - 1 AND q.prefix = n.prefix[1:n.depth - 1] AND n.depth > 0
+"""
