@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm import (
-    bitslice, blockjoin, bpe, chat, interpolation, linededup, mixing, pii, quality, simhash, trie, warc)
+    bitslice, blockjoin, bpe, chat, interpolation, linededup, merkle, mixing, pii, quality, simhash, trie, warc)
 from ticklake.llm.common import id_remainder
 from ticklake.sources.tables import read_table
 
@@ -119,6 +119,11 @@ def op11_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(hard)))
 
 
+@query("op12_merkle_manifest")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit_documents(read_table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text"))
+
+
 @query("op13_prefix_trie")
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations rebuilt on the first turns of every twentieth one."""

@@ -172,3 +172,57 @@ SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, s.n_children,
 FROM n JOIN s ON s.depth = n.depth AND s.prefix = n.prefix
      LEFT JOIN n q ON q.depth = n.depth - 1 AND q.prefix = n.prefix[1:n.depth - 1] AND n.depth > 0
 """
+
+
+def _field(x: str) -> str:
+    return f"coalesce(concat(strlen({x}::VARCHAR), ':', {x}::VARCHAR), '-')"
+
+
+def _tree(leaves: str, name: str, levels: int) -> str:
+    """``leaves`` (grp, i, h): CTEs <name>0 .. <name><levels>, each level's
+    nodes with their run and the hashes beside them; a level of one node stays."""
+    step = f"{name}0 AS (SELECT grp, i, h, count(*) OVER (PARTITION BY grp) AS n FROM {leaves})"
+    for k in range(levels):
+        step += f""",
+{name}{k + 1} AS (SELECT grp, i // 3 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END
+                         AS h, count(*) OVER (PARTITION BY grp) AS n FROM {name}{k} GROUP BY grp, i // 3)"""
+    return step
+
+
+def _beside(name: str, level: int, g: str, i: str, side: str) -> str:
+    """The hashes left ('<') or right ('>') of the ancestor of leaf ``i`` at a level."""
+    at = f"({i} // {3 ** level})"
+    return (f"coalesce((SELECT string_agg(s.h, '' ORDER BY s.i) FROM {name}{level} s WHERE s.grp = {g} "
+            f"AND s.i // 3 = {at} // 3 AND s.i {side} {at}), '')")
+
+
+def _merkle(levels: int = 7, top: int = 4) -> str:
+    """Trees of up to 3 ** levels leaves a source, and 3 ** top sources."""
+    steps = [("t", k, "p.grp", "p.i") for k in range(levels)] + [("u", k, "''", "p.si") for k in range(top)]
+    cols = ", ".join(f"{_beside(n, k, g, i, '<')} AS l{j}, {_beside(n, k, g, i, '>')} AS r{j}, "
+                     f"(SELECT any_value(n) FROM {n}{k} x WHERE x.grp = {g}) > 1 AS on{j}"
+                     for j, (n, k, g, i) in enumerate(steps))
+    folds = ""
+    for j in range(len(steps)):
+        folds += f""",
+f{j + 1} AS (SELECT * REPLACE (CASE WHEN on{j} THEN sha256(concat(l{j}, folded, r{j})) ELSE folded END AS folded) FROM f{j})"""
+    leaf = lambda text: "sha256(concat(" + ", ".join(_field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + "))"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce('=' || source, '') AS grp, {leaf("text")} AS leaf,
+                  CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} END AS tampered
+           FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+lv AS (SELECT grp, i, leaf AS h FROM o),
+{_tree("lv", "t", levels)},
+su AS (SELECT grp AS src, h, row_number() OVER (ORDER BY grp) - 1 AS si FROM t{levels}),
+sv AS (SELECT '' AS grp, si AS i, h FROM su),
+{_tree("sv", "u", top)},
+p AS (SELECT o.*, su.h AS subroot, su.si, (SELECT h FROM u{top}) AS root FROM o JOIN su ON su.src = o.grp),
+f0 AS (SELECT *, coalesce(tampered, leaf) AS folded, {cols} FROM p){folds}
+SELECT doc_id, leaf, subroot, root, folded AS folded_root, folded = root AS verified,
+       sha256(concat({", ".join(f"l{j}, r{j}" for j in range(len(steps)))})) AS proof_sha256
+FROM f{len(steps)}
+"""
+
+
+SQL["op12_merkle_manifest"] = _merkle()
