@@ -154,8 +154,8 @@ promoted AS (
 
 NEWS = """
 news AS (
-  SELECT sha256(trim(split_part(d.text, chr(10), 1))) AS content_hash, d.source AS symbol,
-         trim(split_part(d.text, chr(10), 1)) AS headline, d.lang AS source,
+  SELECT sha256(regexp_replace(split_part(d.text, chr(10), 1), '^\\s+|\\s+$', '', 'g')) AS content_hash, d.source AS symbol,
+         regexp_replace(split_part(d.text, chr(10), 1), '^\\s+|\\s+$', '', 'g') AS headline, d.lang AS source,
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(d.doc_id * 20 AS INTEGER)) AS published_at,
          'https://news.invalid/' || CAST(d.doc_id AS VARCHAR) AS url, d.text AS raw_body,
          nullif(trim(split_part(d.text, chr(10), 2)), '') AS summary,

@@ -147,12 +147,14 @@ def test_stored_and_pending_vectors_are_all_articles(spark):
     sf = "/root/testdata/sf0.001"
     ids = lambda df: sorted(r["id"] for r in df.collect())
     everything = sorted(r["content_hash"] for r in tx.dedupe_news(articles(spark, sf)).collect())
-    assert sorted(ids(REGISTRY["vector_upsert"](spark, sf)) + ids(REGISTRY["vector_pending"](spark, sf))) == everything
+    stored = REGISTRY["vector_upsert"](spark, sf)
+    assert ids(stored) == everything and {r["pending"] for r in stored.select("pending").distinct().collect()} == {True, False}
     a = spark.createDataFrame([("h1", 1), ("h2", 2), ("h3", None)], "content_hash string, doc_id long")
     a = a.selectExpr("*", "'A' symbol", "'u' url", "timestamp'2024-01-01' published_at", "1.0D sentiment_score",
                      "'head' headline", "'sum' summary")
     v = spark.createDataFrame([(1, [1.0])], "doc_id long, embedding array<double>")
-    assert ids(nw.vector_records(a, v)) == ["h1"] and ids(nw.vector_pending(a, v)) == ["h2", "h3"]
+    got = {r["id"]: (r["pending"], r["embedding"]) for r in nw.vector_records(a, v).collect()}
+    assert got == {"h1": (False, [1.0]), "h2": (True, None), "h3": (True, None)}
 
 
 def test_recombined_chunks_hold_the_whole_text(spark):
@@ -162,7 +164,7 @@ def test_recombined_chunks_hold_the_whole_text(spark):
     from ticklake.plans.catalog import REGISTRY
     from ticklake.sources.tables import read_table, table_path
     sf = "/root/testdata/sf0.001"
-    got = {r["doc_id"]: r for r in REGISTRY["recombine_whole_chunks"](spark, sf).collect()}
+    got = {r["doc_id"]: r for r in REGISTRY["recombine_chunks"](spark, sf).collect()}
     texts = {r["doc_id"]: r["text"] for r in read_table(spark, sf, "documents", "doc_id", "text").collect() if r["text"]}
     assert max(map(len, texts.values())) > 3 * 4000 and set(got) == set(texts)
     for i, t in texts.items():
@@ -170,18 +172,36 @@ def test_recombined_chunks_hold_the_whole_text(spark):
         assert got[i]["raw_text_length"] == len(t)
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{table_path(sf, 'documents')}'")
-    rows = con.sql(SQL["recombine_whole_chunks"]).fetchall()
+    rows = con.sql(SQL["recombine_chunks"]).fetchall()
     assert sorted(rows) == sorted((r["doc_id"], r["summary"], r["raw_text_length"]) for r in got.values())
 
 
-def test_event_counter_counts_every_event(spark):
+def test_call_counter_counts_every_event(spark):
     import duckdb
     from oracle.queries import SQL
     from ticklake.plans.catalog import REGISTRY
     from ticklake.sources.tables import table_path
     sf = "/root/testdata/sf0.001"
-    got = sorted(map(tuple, REGISTRY["event_counter"](spark, sf).select("user_id", "count").collect()))
+    got = sorted(map(tuple, REGISTRY["call_counter"](spark, sf).select("user_id", "count").collect()))
     con = duckdb.connect()
     con.sql(f"CREATE VIEW events AS SELECT * FROM '{table_path(sf, 'events')}'")
-    assert got == sorted(con.sql(SQL["event_counter"]).fetchall())
+    assert got == sorted(con.sql(SQL["call_counter"]).fetchall())
     assert sum(n for _, n in got) == con.sql("SELECT count(*) FROM events").fetchall()[0][0]
+
+
+def test_one_headline_rule_for_storing_and_hashing(spark):
+    """Line ends, tabs and a missing headline: what was enriched is not pending again, and no article doubles."""
+    from ticklake.plans import news as nw
+    from ticklake.sources.fixtures import headline_of
+    texts = [(1, "Title A\r\nbody"), (2, "\t Title A \nother"), (3, "Title B\r\n"), (4, None), (5, " \r\nx"), (6, "Title C")]
+    d = spark.createDataFrame(texts, "doc_id long, raw_body string")
+    d = d.withColumn("headline", headline_of(F.col("raw_body"))).withColumn("content_hash", lb.headline_hash("headline"))
+    d = d.selectExpr("*", "'S' symbol", "'en' source", "timestamp_ntz'2024-01-01 00:00:00' published_at", "'u' url",
+                     "cast(null as string) summary", "cast(null as double) sentiment_score")
+    silver = tx.dedupe_news(d)
+    assert sorted((r["headline"], r["doc_id"]) for r in silver.collect()) == [("", 5), ("Title A", 1), ("Title B", 3), ("Title C", 6)]
+    assert all(r["content_hash"] == r["h"] for r in silver.select("content_hash", lb.headline_hash("headline").alias("h")).collect())
+    scores = silver.select("content_hash", F.lit("sum").alias("summary"), F.lit(0.5).alias("sentiment_score"))
+    done = nw.enrich_news(d.filter("headline is not null"), silver.drop("doc_id", "raw_body"), scores)
+    assert done.count() == 4 and done.filter("summary is null or sentiment_score is null").count() == 0
+    assert nw.unenriched_news(d.filter("headline is not null"), done).count() == 0

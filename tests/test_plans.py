@@ -1,5 +1,7 @@
 """Plan-shape checks: the properties the scale design relies on."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from ticklake.operators import indicators as ind
@@ -18,11 +20,20 @@ def test_bars_aggregate_partially_before_the_shuffle(spark):
     assert "partial_min_by" in p and "partial_sum" in p
 
 
-def test_indicators_use_one_exchange_after_the_bars(spark):
-    p = plan_of(REGISTRY["enriched_prices"](spark, SF))
-    assert p.count("Exchange hashpartitioning") == 2        # bars aggregate + symbol
-    assert p.count("FlatMapGroupsInArrow") == 1
+def test_indicators_never_gather_a_symbol(spark):
+    """Bars move once, on (symbol, block); what moves on the symbol alone is
+    the blocks' summaries; no Python, no second read of the bars."""
+    df = REGISTRY["enriched_prices"](spark, SF)
+    df.collect()
+    p = plan_of(df).split("Initial Plan")[0]
+    assert "FlatMapGroups" not in p and "ArrowEval" not in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    assert p.count("FileScan parquet [l_") == 1 and "ReusedExchange" in p
+    lines = p.splitlines()
+    alone = [i for i, line in enumerate(lines) if re.search(r"Exchange hashpartitioning\(symbol#\d+L, \d+\)", line)]
+    assert len(alone) == 1
+    below = next(line for line in lines[alone[0] + 1:] if "Aggregate(" in line)
+    assert re.search(r"keys=\[symbol#\d+L, _b#\d+\]", below)          # a row a block, not a row a bar
 
 
 def test_latest_per_key_is_an_aggregate_not_a_window(spark):
@@ -58,12 +69,11 @@ def test_recent_dates_do_not_rebuild_the_bars(spark):
     (built from a date-filtered scan), not a second OHLCV aggregate.  D5
     reads its rows twice (market mean, then symbols); the plan that ran has
     the second read from the first one's exchange."""
-    p = plan_of(REGISTRY["sector_momentum"](spark, SF))
-    assert p.count("FileScan parquet [l_") == 1
-    df = REGISTRY["portfolio_risk"](spark, SF)
-    df.collect()
-    ran = plan_of(df).split("Initial Plan")[0]
-    assert ran.count("FileScan parquet [l_") == 1 and "ReusedExchange" in ran
+    for name in ("sector_momentum", "portfolio_risk"):
+        df = REGISTRY[name](spark, SF)
+        df.collect()
+        ran = plan_of(df).split("Initial Plan")[0]
+        assert ran.count("FileScan parquet [l_") == 1 and "ReusedExchange" in ran, name
 
 
 def test_risk_and_moments_run_no_python(spark):

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ticklake.functions.clean import strip
+
 # Keyword lists of the keyword sentiment proxy (H5).
 POSITIVE_WORDS = ("growth", "profit", "increase", "strong", "beat")
 NEGATIVE_WORDS = ("loss", "decline", "weak", "miss", "fall")
 KEYWORD_WEIGHT = 0.15
+# The texts that the functions below show (labels, narrative lines, money formats) must read so.
 RUPEE = "₹"
 CRORE = 1e7
 LAKH_CRORE = 1e5
@@ -23,6 +26,16 @@ def content_hash(text) -> Column:
     return F.sha2(_c(text), 256)
 
 
+def headline_text(c) -> Column:
+    """A headline as it is stored and hashed: without white space of any kind at either end."""
+    return strip(_c(c))
+
+
+def headline_hash(headline) -> Column:
+    """The key of an article (H1 of the stored headline); NULL without a headline."""
+    return content_hash(headline_text(headline))
+
+
 def doc_text(title, summary) -> Column:
     """H4: ``title || '. ' || coalesce(summary, '')``."""
     return F.concat(_c(title), F.lit(". "), F.coalesce(_c(summary), F.lit("")))

@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.functions.labels import content_hash
+from ticklake.functions.clean import strip
+from ticklake.functions.labels import headline_hash, headline_text
 
 CHUNK_CHARS = 4000          # fixed: summariser chunk size
 MIN_TEXT_CHARS = 200        # fixed: extraction acceptance threshold
@@ -28,8 +29,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 def dedupe_news(articles: DataFrame, headline: str = "headline",
                 order: Sequence[str] = ("published_at", "doc_id")) -> DataFrame:
     """L1: one article per SHA-256 of the headline without outer white space, across sources
-    and symbols; the first (smallest ``order``) wins."""
-    h = articles.withColumn("content_hash", content_hash(py_strip(F.col(headline))))
+    and symbols; the first (smallest ``order``) wins.  The headline is stored as it is hashed;
+    an article without one has no key and is left out."""
+    h = articles.filter(F.col(headline).isNotNull()).withColumns(
+        {"content_hash": headline_hash(headline), headline: headline_text(headline)})
     return first_per_key(h, ["content_hash"], list(order))
 
 
@@ -74,16 +77,11 @@ def recombine_chunks(chunks: DataFrame, key: Sequence[str], out: str = "summary"
     return chunks.groupBy(*key).agg(*aggs)
 
 
-def py_strip(c: Column) -> Column:
-    """Python's ``str.strip()`` (all leading / trailing whitespace)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
-
 def text_fallback(df: DataFrame, primary: str, secondary: str,
                   min_chars: int = MIN_TEXT_CHARS) -> DataFrame:
     """Primary text if its stripped length >= 200, else the secondary if
     >= 200, else rejected.  Adds ``text``, ``method`` and ``accepted``."""
-    p, s = py_strip(F.coalesce(F.col(primary), F.lit(""))), py_strip(F.coalesce(F.col(secondary), F.lit("")))
+    p, s = strip(F.coalesce(F.col(primary), F.lit(""))), strip(F.coalesce(F.col(secondary), F.lit("")))
     method = (F.when(F.length(p) >= min_chars, F.lit("primary"))
                .when(F.length(s) >= min_chars, F.lit("fallback")).otherwise(F.lit("rejected")))
     txt = F.when(F.length(p) >= min_chars, p).when(F.length(s) >= min_chars, s)

@@ -81,9 +81,12 @@ def q_enriched_prices(spark, sf_dir):
     return prices(spark, sf_dir)
 
 
+PULSE_COLUMNS = ("trade_date", "volume", "daily_return", "is_outlier", "rsi_14")
+
+
 @query("market_pulse")
 def q_market_pulse(spark, sf_dir):
-    return views.market_pulse(prices(spark, sf_dir), eps=TIE_EPS)
+    return views.market_pulse(prices(spark, sf_dir, *PULSE_COLUMNS), eps=TIE_EPS)
 
 
 # ------------------------------------------------------------------ shared inputs
@@ -131,7 +134,9 @@ def q_rsi_simple(spark, sf_dir):
 
 @query("sector_momentum")
 def q_sector_momentum(spark, sf_dir):
-    return views.sector_momentum(prices(spark, sf_dir), dim_companies(spark, sf_dir), eps=TIE_EPS,
+    p = prices(spark, sf_dir, "symbol", "trade_date", "close_price", "volume", "daily_return", "sma_20", "sma_50",
+               "rsi_14", "normalised_close")
+    return views.sector_momentum(p, dim_companies(spark, sf_dir), eps=TIE_EPS,
                                  calendar=recent_clean_dates(spark, sf_dir))
 
 
@@ -154,7 +159,7 @@ def q_return_moments(spark, sf_dir):
 @query("recent_breadth")
 def q_recent_breadth(spark, sf_dir):
     from ticklake.functions.labels import breadth_label
-    p = views.recent_breadth(views.market_pulse(prices(spark, sf_dir), eps=TIE_EPS), 10)
+    p = views.recent_breadth(views.market_pulse(prices(spark, sf_dir, *PULSE_COLUMNS), eps=TIE_EPS), 10)
     return p.select("trade_date", "advancing", "declining", "total_symbols", "advance_pct",
                     breadth_label("advance_pct").alias("breadth"))
 
@@ -199,7 +204,7 @@ def q_table_health(spark, sf_dir):
 
 @query("price_contract")
 def q_price_contract(spark, sf_dir):
-    p = prices(spark, sf_dir)
+    p = prices(spark, sf_dir, "symbol", "trade_date", "close_price", "volume", "rsi_14", "normalised_close")
     cur = dim_companies(spark, sf_dir).filter("is_current")
     return quality.contract_report(
         p, "silver.prices", not_null=["symbol", "trade_date", "close_price"],
@@ -231,9 +236,12 @@ def q_fact_fundamentals(spark, sf_dir):
     return f.drop("company_key")
 
 
+SUMMARY_BARS = ("symbol", "trade_date", "close_price", "daily_return", "normalised_close", "sma_20", "sma_50", "rsi_14")
+
+
 @query("stock_summary")
 def q_stock_summary(spark, sf_dir):
-    latest = views.latest_bars(prices(spark, sf_dir))
+    latest = views.latest_bars(prices(spark, sf_dir, *SUMMARY_BARS))
     fund = dims.promote_fundamentals(fx.fundamentals(spark, sf_dir))
     return earnings.stock_summary(latest, fund)
 
@@ -257,17 +265,31 @@ from ticklake.plans import live  # noqa: E402
 from ticklake.plans import news as nw  # noqa: E402
 from ticklake.sources import prices as src  # noqa: E402
 from ticklake.sources import sinks  # noqa: E402
+from ticklake.sources.versioned import VersionedTable  # noqa: E402
 from ticklake.streaming import ingest  # noqa: E402
 
 BUDGET_SPENT = 10          # calls already spent today in the budget example
 
 
+def scratch_folder(spark, name: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    import uuid
+    from ticklake.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
 def newest_article(news_df):
     """as_of for the news views: the newest publication time in the data
     (one scalar; a view parameter, not data passed through the driver)."""
     return news_df.agg(F.max("published_at")).first()[0]
 
 
+def before_midpoint(news_df):
+    """Published in the first half of the data's time span."""
+    b = news_df.agg(F.min("published_at").alias("lo"), F.max("published_at").alias("hi")).first()
+    return F.col("published_at") < nw._ts(b["lo"] + (b["hi"] - b["lo"]) / 2)
+
+
 def articles(spark, sf_dir):
     """The news without bodies: nothing that follows shuffles or sorts texts."""
     return fx.news(spark, sf_dir).drop("raw_body")
@@ -334,9 +356,7 @@ def q_news_insert_ignore(spark, sf_dir):
     """yesterday's silver (articles published before the midpoint of the
     data's time span) plus today's arrivals; existing hashes are kept."""
     n = fx.news(spark, sf_dir).drop("raw_body")
-    b = n.agg(F.min("published_at").alias("lo"), F.max("published_at").alias("hi")).first()
-    mid = b["lo"] + (b["hi"] - b["lo"]) / 2
-    old = tx.dedupe_news(n.filter(F.col("published_at") < nw._ts(mid)))
+    old = tx.dedupe_news(n.filter(before_midpoint(n)))
     return sinks.insert_ignore(old, n, ["content_hash"], ["published_at", "doc_id"])
 
 
@@ -370,16 +390,7 @@ def q_chunk_text(spark, sf_dir):
 
 @query("recombine_chunks")
 def q_recombine_chunks(spark, sf_dir):
-    c = doc_chunks(spark, sf_dir)
-    # stand-in for the per-chunk model output: the chunk's first line
-    c = c.select("doc_id", "chunk_index", F.trim(F.substring_index("chunk", "\n", 1)).alias("chunk_summary"),
-                 F.length("chunk").alias("chunk_chars"))
-    return tx.recombine_chunks(c, ["doc_id"])
-
-
-@query("recombine_whole_chunks")
-def q_recombine_whole_chunks(spark, sf_dir):
-    """L4 over the whole text: the per-chunk output is the chunk itself."""
+    """L4 over whole texts: the per-chunk output is the chunk itself."""
     c = doc_chunks(spark, sf_dir)
     return tx.recombine_chunks(c.withColumn("chunk_chars", F.length("chunk")), ["doc_id"], part="chunk")
 
@@ -522,7 +533,7 @@ def q_quote_metrics(spark, sf_dir):
 
 
 def summary_frame(spark, sf_dir):
-    latest = views.latest_bars(prices(spark, sf_dir))
+    latest = views.latest_bars(prices(spark, sf_dir, *SUMMARY_BARS))
     fund = dims.promote_fundamentals(fx.fundamentals(spark, sf_dir))
     return earnings.stock_summary(latest, fund)
 
@@ -540,9 +551,9 @@ def q_live_overlay_insights(spark, sf_dir):
 
 @query("append_live_bar")
 def q_append_live_bar(spark, sf_dir):
-    p = prices(spark, sf_dir)
-    today = clean_bars(spark, sf_dir).agg(F.date_add(F.max("trade_date"), 1)).first()[0]   # the dates of p
-    return live.append_live_bar(p, live.quotes_from_bars(fx.bars(spark, sf_dir)), today)
+    last = live.last_closes(clean_bars(spark, sf_dir))
+    today = last.agg(F.date_add(F.max("trade_date"), 1)).scalar()
+    return live.append_live_bar(prices(spark, sf_dir), live.quotes_from_bars(fx.bars(spark, sf_dir)), today, last)
 
 
 @query("summary_labels")
@@ -555,33 +566,27 @@ def q_summary_labels(spark, sf_dir):
                     F.round(lb.range_position("close_price", "fifty_two_week_high", "fifty_two_week_low") + TIE_EPS, 6)
                     .alias("range_position"),
                     lb.sma_gap("close_price", "sma_20")["direction"].alias("sma_direction"),
-                    lb.bar_direction(F.col("close_price"), F.col("close_price"), F.col("daily_return"))["return_up"]
+                    lb.bar_direction(F.lit(None).cast("double"), F.col("close_price"), F.col("daily_return"))["return_up"]
                     .alias("return_up"))
 
 
 @query("merge_prices")
 def q_merge_prices(spark, sf_dir):
     """yesterday's bars (all but the last 30 days) merged with a feed of
-    net-price bars for the last 60 days (30 days overlap, 30 days new)."""
+    net-price bars for the last 60 days (30 days overlap, 30 days new); both
+    are committed versions of one table, which is read back."""
     b = fx.bars(spark, sf_dir)
     hi = b.agg(F.max("trade_date")).first()[0]
     target = b.filter(F.col("trade_date") < F.date_sub(F.lit(hi), 30))
     updates = fx.bars(spark, sf_dir, net=True).filter(F.col("trade_date") >= F.date_sub(F.lit(hi), 60))
-    return sinks.merge_upsert(target, updates, ["symbol", "trade_date"])
+    table = VersionedTable(spark, scratch_folder(spark, "prices"), ["symbol", "trade_date"], ["symbol"])
+    table.merge(target)
+    table.merge(updates)
+    return table.read()
 
 
 @query("call_counter")
 def q_call_counter(spark, sf_dir):
-    """Per-user counter of clicks incremented by the day's views."""
-    from ticklake.sources.tables import read_table
-    e = read_table(spark, sf_dir, "events", "user_id", "event_type")
-    clicks = e.filter(F.col("event_type") == "click").groupBy("user_id").agg(F.count(F.lit(1)).alias("count"))
-    views_ = e.filter(F.col("event_type") == "view").groupBy("user_id").agg(F.count(F.lit(1)).alias("count"))
-    return sinks.upsert_increment(clicks, views_, ["user_id"], "count")
-
-
-@query("event_counter")
-def q_event_counter(spark, sf_dir):
     """A17 over all events: per-user counter of clicks incremented by the
     day's events of every other type."""
     from ticklake.sources.tables import read_table
@@ -605,7 +610,7 @@ def q_summary_upsert(spark, sf_dir):
     Both snapshots come from one grouped aggregate over the prices (two
     ``max_by``), so the indicator plan runs once."""
     from ticklake.sources.tables import read_table  # noqa: F401
-    p = prices(spark, sf_dir)
+    p = prices(spark, sf_dir, *SUMMARY_BARS)
     hi = clean_bars(spark, sf_dir).agg(F.max("trade_date")).first()[0]
     cutoff = F.date_sub(F.lit(hi), 30)
     cols = [c for c in p.columns if c != "symbol"]
@@ -712,18 +717,9 @@ def q_vector_upsert(spark, sf_dir):
     midpoint of the news span) is upserted with all of today's records."""
     n = tx.dedupe_news(articles(spark, sf_dir))
     vec = fx.vectors(spark, sf_dir).select(F.col("vec_id").alias("doc_id"), "embedding")
-    b = n.agg(F.min("published_at").alias("lo"), F.max("published_at").alias("hi")).first()
-    mid = b["lo"] + (b["hi"] - b["lo"]) / 2
-    store = nw.vector_records(n.filter(F.col("published_at") < nw._ts(mid)), vec)
+    store = nw.vector_records(n.filter(before_midpoint(n)), vec)
     out = nw.vector_upsert(store, nw.vector_records(n, vec))
-    return out.select("id", "document", "metadata.*", F.size("embedding").alias("dims"))
-
-
-@query("vector_pending")
-def q_vector_pending(spark, sf_dir):
-    """The articles that vector_upsert cannot store yet, for lack of a vector."""
-    vec = fx.vectors(spark, sf_dir).select(F.col("vec_id").alias("doc_id"))
-    return nw.vector_pending(tx.dedupe_news(articles(spark, sf_dir)), vec).select("id", "document", "metadata.*")
+    return out.select("id", "document", "metadata.*", "pending", F.size("embedding").alias("dims"))
 
 
 @query("summary_snapshot")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions.labels import pct_change
@@ -11,11 +11,16 @@ from ticklake.operators.ranking import latest_per_key
 LIVE_PRICE_FACTOR = 1.01
 
 
+def last_closes(bars: DataFrame) -> DataFrame:
+    """(symbol, trade_date, close_price) of every symbol's newest bar."""
+    return latest_per_key(bars.select("symbol", "trade_date", "close_price"), ["symbol"], ["trade_date"])
+
+
 def quotes_from_bars(bars: DataFrame) -> DataFrame:
     """Live quotes derived from the newest bar of every symbol: live price =
     close * 1.01, previous close = close, change_pct by H19; odd symbols have
     no live price (change 0); market cap etc. only for symbols divisible by 4."""
-    last = latest_per_key(bars.select("symbol", "trade_date", "close_price"), ["symbol"], ["trade_date"])
+    last = last_closes(bars)
     even = F.pmod("symbol", F.lit(2)) == 0
     cap = F.pmod("symbol", F.lit(4)) == 0
     live = F.when(even, F.col("close_price") * LIVE_PRICE_FACTOR)
@@ -57,33 +62,22 @@ def overlay_live(snapshot: DataFrame, quotes: DataFrame, page: str = "price") ->
     return j.select(*[out.get(c, F.col(c)).alias(c) for c in snapshot.columns])
 
 
-def append_live_bar(history: DataFrame, quotes: DataFrame, today) -> DataFrame:
+def append_live_bar(history: DataFrame, quotes: DataFrame, today, last: DataFrame | None = None) -> DataFrame:
     """Add today's bar from the live quote when the symbol's last bar is
     older than today: open = previous close (else the last close), high/low =
     max/min(open, live), volume 0, indicators NULL, daily_return =
     coalesce(change_pct, 0) / 100, is_outlier false.
 
-    One pass over ``history``: a window marks each symbol's last row, the
-    quotes (one row per symbol) are joined on, and ``explode`` emits the row
-    itself plus, on a qualifying last row, the new bar.
-    """
+    ``history`` passes through; the new bars, one a symbol at most, come from
+    an aggregate (``last``: the newest bar of each symbol, when the caller has
+    it cheaper than from ``history``)."""
     today_c = today if isinstance(today, Column) else F.lit(today).cast("date")
-    w = Window.partitionBy("symbol")
-    q = quotes.select("symbol", F.col("live_price").alias("_live"), F.col("prev_close").alias("_prev"),
-                      F.col("change_pct").alias("_chg"))
-    h = (history.withColumn("_last", F.col("trade_date") == F.max("trade_date").over(w))
-                .join(q, "symbol", "left"))
-    add = F.col("_last") & _truthy(F.col("_live")) & (F.col("trade_date") < today_c)
-    open_ = F.coalesce(F.nullif(F.col("_prev"), F.lit(0.0)), F.col("close_price"))
-    cols = [c for c in history.columns]
-    new_vals = {
-        "trade_date": today_c, "open_price": open_, "high_price": F.greatest(open_, F.col("_live")),
-        "low_price": F.least(open_, F.col("_live")), "close_price": F.col("_live"),
-        "volume": F.lit(0).cast("bigint"),
-        "daily_return": F.coalesce(F.col("_chg"), F.lit(0.0)) / 100.0, "is_outlier": F.lit(False)}
-    types = dict(history.dtypes)
-    same = F.struct(*[F.col(c).alias(c) for c in cols])
-    bar = F.struct(*[(F.col(c) if c == "symbol" else new_vals.get(c, F.lit(None)).cast(types[c])).alias(c)
-                     for c in cols])
-    rows = F.filter(F.array(same, F.when(add, bar)), lambda r: r.isNotNull())
-    return h.select(F.explode(rows).alias("_r")).select("_r.*")
+    last = last_closes(history) if last is None else last
+    live, chg = F.col("live_price"), F.col("change_pct")
+    j = last.join(quotes.select("symbol", "live_price", "prev_close", "change_pct"), "symbol")
+    j = j.filter(_truthy(live) & (F.col("trade_date") < today_c))
+    open_ = F.coalesce(F.nullif(F.col("prev_close"), F.lit(0.0)), F.col("close_price"))
+    new = {"symbol": F.col("symbol"), "trade_date": today_c, "open_price": open_,
+           "high_price": F.greatest(open_, live), "low_price": F.least(open_, live), "close_price": live,
+           "volume": F.lit(0), "daily_return": F.coalesce(chg, F.lit(0.0)) / 100.0, "is_outlier": F.lit(False)}
+    return history.unionByName(j.select(*[new.get(c, F.lit(None)).cast(t).alias(c) for c, t in history.dtypes]))

@@ -132,18 +132,14 @@ def _vector_rows(articles: DataFrame, id_col: str) -> DataFrame:
 
 def vector_records(articles: DataFrame, vectors: DataFrame, id_col: str = "content_hash") -> DataFrame:
     """(id, document text = H4, metadata with '' / 0.0 defaults, vector)
-    of the articles that have a vector; ``vector_pending`` has the others."""
-    return _vector_rows(articles, id_col).join(vectors, "doc_id").drop("doc_id")
-
-
-def vector_pending(articles: DataFrame, vectors: DataFrame, id_col: str = "content_hash") -> DataFrame:
-    """(id, document, metadata) of the articles without a vector."""
-    return _vector_rows(articles, id_col).join(vectors, "doc_id", "left_anti").drop("doc_id")
+    of every article; without a vector it is ``pending`` (a left join: none is lost)."""
+    rows = _vector_rows(articles, id_col).join(vectors.select("doc_id", "embedding"), "doc_id", "left")
+    return rows.drop("doc_id").withColumn("pending", F.col("embedding").isNull())
 
 
 def vector_upsert(store: DataFrame, records: DataFrame) -> DataFrame:
-    """Keyed upsert of (id, document, metadata, embedding)."""
-    return upsert_overwrite(store, records, ["id"], ["document", "metadata", "embedding"])
+    """Keyed upsert of (id, document, metadata, embedding, pending)."""
+    return upsert_overwrite(store, records, ["id"], ["document", "metadata", "embedding", "pending"])
 
 
 def enrich_news(bronze: DataFrame, silver: DataFrame, scores: DataFrame,

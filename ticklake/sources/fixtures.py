@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticklake.functions.labels import headline_hash, headline_text
 from ticklake.functions.numeric import TIE_EPS, rnd
 from ticklake.sources.tables import read_table
 
@@ -113,7 +114,7 @@ def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def headline_of(text: Column) -> Column:
-    return F.trim(F.substring_index(text, "\n", 1))
+    return headline_text(F.substring_index(text, "\n", 1))
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +129,7 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     head = headline_of(F.col("text"))
     minutes = F.col("doc_id") * NEWS_MINUTES_PER_DOC          # a long: beyond an int, days carry it
-    articles = (d.select(F.sha2(head, 256).alias("content_hash"),
+    articles = (d.select(headline_hash(head).alias("content_hash"),
                      F.col("source").alias("symbol"),
                      head.alias("headline"),
                      F.col("lang").alias("source"),
