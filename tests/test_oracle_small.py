@@ -17,7 +17,8 @@ FAST = ["daily_bars", "enriched_prices", "market_pulse", "rsi_simple", "portfoli
         "bronze_valid", "market_hours", "earnings_report", "live_overlay", "quote_metrics",
         "integrity_faults", "news_contract", "embedding_checks", "unenriched_news_stored", "news_refresh",
         "fundamentals_upsert", "earnings_upsert", "csv_export", "bronze_batch", "stream_two_sinks", "clean_articles",
-        "number_labels", "run_audit_log"]
+        "number_labels", "run_audit_log", "call_counter", "recombine_chunks", "vector_upsert", "merge_prices",
+        "append_live_bar", "stream_bronze", "stream_exactly_once", "stream_audit", "stream_late_rows"]
 
 
 def _norm(v):

@@ -464,13 +464,13 @@ def q_dead_letters(spark, sf_dir):
     return dead.select("ticker", "trade_date", "close")
 
 
-def spool_messages(spark, sf_dir):
+def spool_messages(spark, sf_dir, files: int | None = None):
     """Write the message fixture as text files under the shared checkpoint
     folder (the file-source form of the price topic); returns the folder."""
-    import uuid
-    from ticklake.session import scratch_path
-    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
-    src.messages(spark, sf_dir).select("value").write.mode("overwrite").text(base + "/in")
+    base = scratch_folder(spark, "stream")
+    m = src.messages(spark, sf_dir)
+    m = m.repartition(files, "event_id") if files else m
+    m.select("value").write.mode("overwrite").text(base + "/in")
     return base
 
 
@@ -480,7 +480,78 @@ def q_stream_bronze(spark, sf_dir):
     base = spool_messages(spark, sf_dir)
     ingest.bronze_backfill(spark, {"format": "text", "path": base + "/in", "max_files_per_trigger": 4},
                            base + "/bronze", base + "/dead", base + "/ckpt")
-    return spark.read.parquet(base + "/bronze").select(*BRONZE_OUT)
+    bronze = ingest.read_committed(spark, base + "/bronze", ingest.commits_of(base + "/bronze"))
+    return bronze.select(*BRONZE_OUT)
+
+
+class SinkFailure(RuntimeError):
+    """The failure that a query injects between two sinks."""
+
+
+def interrupted_ingest(spark, sf_dir):
+    """I4: bronze ingest in several micro-batches; the second fails once its
+    bronze rows are written and its dead letters are not; then a restart."""
+    base = spool_messages(spark, sf_dir, files=6)
+    source, failed = {"format": "text", "path": base + "/in", "max_files_per_trigger": 2}, []
+
+    def fail_once(sink, batch_id):
+        if sink == "bronze" and batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise SinkFailure(f"after {sink}")
+
+    args = (source, base + "/bronze", base + "/dead", base + "/ckpt", {"availableNow": True})
+    try:
+        ingest.bronze_ingest(spark, *args, after_sink=fail_once).awaitTermination()
+    except Exception:  # noqa: BLE001 - the stream wraps what its function raised
+        if not failed:
+            raise
+    ingest.bronze_ingest(spark, *args, after_sink=fail_once).awaitTermination()
+    return base
+
+
+@query("stream_exactly_once")
+def q_stream_exactly_once(spark, sf_dir):
+    """Both sinks after a failure between them and a restart."""
+    base = interrupted_ingest(spark, sf_dir)
+    part = lambda name: ingest.read_committed(
+        spark, f"{base}/{name}", ingest.commits_of(base + "/bronze")).select(F.lit(name).alias("sink"), "ticker",
+                                                                             "trade_date", "close")
+    return part("bronze").unionByName(part("dead"))
+
+
+@query("stream_audit")
+def q_stream_audit(spark, sf_dir):
+    """K10 for streams: rows per sink and status over all batches, the failed attempt included."""
+    base = interrupted_ingest(spark, sf_dir)
+    audit = ingest.stream_audit(spark, ingest.commits_of(base + "/bronze"))
+    return audit.groupBy("status", "sink").agg(F.sum("rows").alias("rows"))
+
+
+LATE_SLICES = 4            # time slices in which the messages arrive
+REPLAYED = 7               # every so many-th event is sent once more at the end
+
+
+@query("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """I3 over several micro-batches: the messages arrive in time order, then
+    some once more.  A replay of the last day is a duplicate, an older one is
+    late and lands in the dead letters."""
+    base = scratch_folder(spark, "late")
+    m = src.messages(spark, sf_dir, keep=("ts",))
+    bounds = m.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    width = (bounds["hi"] - bounds["lo"]) / LATE_SLICES
+    at = lambda k: F.lit(bounds["lo"] + width * k)
+    for k in range(LATE_SLICES):
+        part = (F.col("ts") >= at(k)) & ((F.col("ts") < at(k + 1)) if k + 1 < LATE_SLICES else F.lit(True))
+        m.filter(part).select("value").coalesce(1).write.mode("append").text(base + "/in")
+    m.filter(F.pmod("event_id", F.lit(REPLAYED)) == 0).select("value").coalesce(1).write.mode("append").text(base + "/in")
+    ingest.dedupe_ingest(spark, {"format": "text", "path": base + "/in", "max_files_per_trigger": 1}, base + "/kept",
+                         base + "/dead", base + "/ckpt", trigger={"availableNow": True}).awaitTermination()
+    kept = spark.read.parquet(base + "/kept").select(F.lit("kept").alias("verdict"), "ticker", "trade_date", "close")
+    dead = spark.read.parquet(base + "/dead").select(F.col("reason").alias("verdict"), "ticker", "trade_date", "close")
+    counts = ingest.read_commits(spark, ingest.commits_of(base + "/kept")).groupBy(
+        F.concat(F.lit("rows "), "sink").alias("verdict")).agg(F.sum("rows").cast("double").alias("close"))
+    return kept.unionByName(dead).unionByName(counts, allowMissingColumns=True)
 
 
 @query("stream_dedupe")

@@ -147,8 +147,9 @@ def history_plus_today(history: DataFrame, today: DataFrame, as_of,
     return latest_per_key(both, list(keys), ["_src"]).drop("_src")
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price messages (key, value) from ``events``: one bar per event.
+def messages(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
+    """Price messages (key, value) from ``events``: one bar per event
+    (``keep``: columns of the event to carry along).
 
     ticker ``U<user_id>.NS``, trade_date = event day, close = value; every
     tenth event (event_id % 10 = 0) carries close 0 and every tenth shifted by
@@ -156,7 +157,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value")
     bars = e.select(
-        "event_id",
+        "event_id", *keep,
         F.concat(F.lit("U"), F.col("user_id").cast("string"), F.lit(".NS")).alias("ticker"),
         F.to_date("ts").alias("trade_date"),
         F.col("value").alias("open"), F.col("value").alias("high"), F.col("value").alias("low"),
@@ -164,6 +165,6 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("adj_close"),
         F.lit(100).cast("bigint").alias("volume"),
         F.col("ts").cast("timestamp").alias("ingested_at"))
-    enc = encode_price_message(bars, keep=("event_id",))
+    enc = encode_price_message(bars, keep=("event_id", *keep))
     value = F.when(F.pmod("event_id", F.lit(10)) == 1, F.lit("{bad")).otherwise(F.col("value"))
-    return enc.select("event_id", "key", value.alias("value"))
+    return enc.select("event_id", *keep, "key", value.alias("value"))
