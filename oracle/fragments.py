@@ -127,8 +127,8 @@ FACTS = """
 facts AS (
   SELECT CAST(strftime(p.trade_date, '%Y%m%d') AS INTEGER) AS date_key, p.symbol, p.trade_date,
          p.open_price, p.high_price, p.low_price, p.close_price, p.adj_close_price, p.volume,
-         p.daily_return, d.version AS company_version
-  FROM prices p JOIN dim d ON d.symbol = p.symbol
+         p.daily_return, coalesce(d.version, 0) AS company_version
+  FROM prices p LEFT JOIN dim d ON d.symbol = p.symbol
    AND p.trade_date BETWEEN d.effective_from AND coalesce(d.effective_to, DATE '9999-12-31')
 )"""
 

@@ -167,6 +167,7 @@ def classify_statements(df: DataFrame, col: str = "statement") -> DataFrame:
               .withColumn("guarded", F.when(F.col("allowed"), cap_statement(col))))
 
 
-def capped_read(df: DataFrame, cap: int = ROW_CAP) -> DataFrame:
-    """B13 DataFrame form: at most ``cap`` rows (the feature is the cap)."""
-    return df.limit(cap)
+def capped_read(df: DataFrame, *order: str, cap: int = ROW_CAP) -> DataFrame:
+    """B13 DataFrame form: at most ``cap`` rows (the feature is the cap), the
+    first in ``order`` when one is given."""
+    return (df.orderBy(*order) if order else df).limit(cap)

@@ -99,17 +99,50 @@ def dim_date_from(bounds: DataFrame, start: str = "min_date", end: str = "max_da
                     F.lit(False).alias("is_holiday"))
 
 
+# The member that facts without a company version in force belong to.
+UNKNOWN_KEY, UNKNOWN_VERSION = -1, 0
+BUCKET_DAYS = 1461                     # versions are met within spans of four years
+LAST_BUCKET_DAY = "2100-01-01"         # later days share its span; the dates themselves are compared whole
+
+
+def with_unknown_member(dim: DataFrame) -> DataFrame:
+    """The dimension and its unknown member (no symbol, never current)."""
+    none = {"company_key": UNKNOWN_KEY, "version": UNKNOWN_VERSION, "is_current": False}
+    row = dim.sparkSession.range(1).select(*[F.lit(none.get(c)).cast(t).alias(c) for c, t in dim.dtypes])
+    return dim.unionByName(row)
+
+
+def _span(day: Column) -> Column:
+    return F.floor(F.unix_date(F.least(day, F.lit(LAST_BUCKET_DAY).cast("date"))) / BUCKET_DAYS).cast("int")
+
+
+def as_of_version(facts: DataFrame, dim: DataFrame, day: Column) -> DataFrame:
+    """Every fact with ``company_key`` and ``company_version`` of the
+    version in force on ``day``, or of the unknown member.
+
+    An interval join by date spans: each version is listed under the spans it
+    reaches, and facts meet the versions of their own span only, so neither
+    many versions of a company nor many facts make a quadratic join, and a
+    company's facts spread by span.  Facts out = facts in (versions of a
+    company do not overlap)."""
+    to = F.coalesce(F.col("effective_to"), F.lit(OPEN_END).cast("date"))
+    d = dim.filter(F.col("symbol").isNotNull()).select(
+        F.col("symbol").alias("_sym"), F.col("company_key").alias("_key"), F.col("version").alias("_version"),
+        F.col("effective_from").alias("_from"), to.alias("_to"),
+        F.explode(F.sequence(_span(F.col("effective_from")), _span(to))).alias("_sp"))
+    f = facts.withColumns({"_day": day, "_span": _span(day)})
+    on = ((f["symbol"] == d["_sym"]) & (f["_span"] == d["_sp"]) & (f["_day"] >= d["_from"]) & (f["_day"] <= d["_to"]))
+    return f.join(d, on, "left").withColumns({
+        "company_key": F.coalesce("_key", F.lit(UNKNOWN_KEY)),
+        "company_version": F.coalesce("_version", F.lit(UNKNOWN_VERSION))}).drop(
+        "_sym", "_key", "_version", "_from", "_to", "_sp", "_span", "_day")
+
+
 def load_fact_prices(prices: DataFrame, dim: DataFrame) -> DataFrame:
-    """fact_prices with date_key (H18) and the company version in force
-    on the trade date (SCD2 as-of join: equi-join on symbol plus a range
-    predicate over that symbol's few versions)."""
-    d = dim.select("symbol", "company_key", F.col("version").alias("company_version"),
-                   "effective_from", "effective_to")
-    j = prices.join(d, "symbol").filter(
-        (F.col("trade_date") >= F.col("effective_from")) &
-        (F.col("trade_date") <= F.coalesce(F.col("effective_to"), F.lit(OPEN_END).cast("date"))))
+    """fact_prices with date_key (H18) and the company version in force on the trade date."""
+    j = as_of_version(prices, dim, F.col("trade_date"))
     date_key = F.date_format("trade_date", "yyyyMMdd").cast("int")
-    return j.select(F.xxhash64(date_key, F.col("company_key")).alias("price_key"),
+    return j.select(F.xxhash64(date_key, F.col("company_key"), F.col("symbol")).alias("price_key"),
                     date_key.alias("date_key"), "company_key", "company_version", "symbol", "trade_date",
                     "open_price", "high_price", "low_price", "close_price", "adj_close_price",
                     "volume", "daily_return")
@@ -117,16 +150,18 @@ def load_fact_prices(prices: DataFrame, dim: DataFrame) -> DataFrame:
 
 def load_fact_fundamentals(fund: DataFrame, dim: DataFrame) -> DataFrame:
     """fact_fundamentals keyed by (date_key of the report period, company_key, metric)."""
-    d = dim.select("symbol", "company_key", F.col("version").alias("company_version"),
-                   "effective_from", "effective_to")
-    j = fund.join(d, "symbol").filter(
-        (F.col("report_period") >= F.col("effective_from")) &
-        (F.col("report_period") <= F.coalesce(F.col("effective_to"), F.lit(OPEN_END).cast("date"))))
+    j = as_of_version(fund, dim, F.col("report_period"))
     date_key = F.date_format("report_period", "yyyyMMdd").cast("int")
     return j.select(date_key.alias("date_key"), "company_key", "company_version", "symbol", "metric_name",
                     "metric_value")
 
 
+def reload_facts(stored: DataFrame, loaded: DataFrame, keys=("date_key", "symbol")) -> DataFrame:
+    """K14 + A9: facts that are stored stay as they are; new ones are added."""
+    from ticklake.sources.sinks import insert_ignore
+    return insert_ignore(stored, loaded, list(keys))
+
+
 def promote_fundamentals(raw: DataFrame) -> DataFrame:
     """Newest report period per (symbol, metric_name)."""
     return latest_per_key(raw, ["symbol", "metric_name"], ["report_period", "metric_value"])

@@ -219,6 +219,23 @@ def audited(spark, path: str, task: str, run_date, action: Callable[[], tuple[in
          .withColumn("started_at", F.lit(started)).write.mode("append").parquet(path))
 
 
+def embedding_gate(spark, path: str, vectors: DataFrame, model: str, dim: int, vec: str = "embedding") -> DataFrame:
+    """K11 as a gate: the first run writes the record (model, dimension) at
+    ``path``; a later one goes on only if both are the stored ones and every
+    vector has that size, else it raises.  Returns the stored record."""
+    from ticklake.sources.sinks import path_exists
+    record = "model_name string, dimension int"
+    first = not path_exists(spark, path)
+    meta = spark.createDataFrame([], record) if first else spark.read.schema(record).parquet(path)
+    found = embedding_compat(vectors, meta, model, dim, vec).first()
+    if not found["compatible"]:
+        raise RuntimeError(f"embeddings refused: stored {found['stored_model']} of {found['stored_dim']}, "
+                           f"now {model} of {dim}, {found['bad_vectors']} vectors of another size")
+    if first:
+        spark.createDataFrame([(model, dim)], record).coalesce(1).write.parquet(path)
+    return spark.read.schema(record).parquet(path)
+
+
 def embedding_compat(vectors: DataFrame, meta: DataFrame, model: str, dim: int,
                      vec: str = "embedding") -> DataFrame:
     """Stored model/dimension vs the current one, plus a scan for

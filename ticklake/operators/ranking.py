@@ -24,12 +24,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     return agg.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rn") -> DataFrame:
-    """ROW_NUMBER per key by ``order`` (pass a total order)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w))
-
-
 def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """at most n rows per key.
 
@@ -62,3 +56,22 @@ def restrict_to_recent_dates(df: DataFrame, n: int, date: str = "trade_date",
     """
     dates = recent_dates(calendar if calendar is not None else df, n, date)
     return df.join(F.broadcast(dates), date, "left_semi")
+
+
+def running_total(df: DataFrame, order: Sequence[Column], value: str, total: str = "running_total") -> DataFrame:
+    """``df`` with the sum of ``value`` up to and including each row in
+    ``order`` (a total order), for any number of rows: a stored range sort, a
+    running sum within each of its partitions, and the sums of the partitions
+    before (one row a partition).  No window over the whole table."""
+    from ticklake.session import materialize
+    rows = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                       .withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    rows = rows.withColumn("_part", F.shiftright("_at", 33))
+    parts = rows.groupBy("_part").agg(F.sum(value).alias("_sum")).agg(
+        F.array_sort(F.collect_list(F.struct("_part", "_sum"))).alias("p"))
+    before = F.transform("p", lambda x: F.struct(x["_part"].alias("_part"), F.aggregate(
+        F.filter("p", lambda y: y["_part"] < x["_part"]), F.lit(0).cast("long"), lambda a, y: a + y["_sum"]).alias("_before")))
+    parts = parts.select(F.explode(before).alias("b")).select("b.*")
+    w = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    return (rows.join(parts, "_part").withColumn(total, F.col("_before") + F.sum(value).over(w))
+            .drop("_part", "_at", "_before"))

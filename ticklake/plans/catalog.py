@@ -186,7 +186,8 @@ def q_integrity_report(spark, sf_dir):
     from ticklake.session import materialize
     silver = materialize(price_facts_input(spark, sf_dir), "silver")
     d = dim_companies(spark, sf_dir, stored=True)
-    return quality.integrity_report(dims.load_fact_prices(silver, d), d, dim_date(spark, sf_dir), silver)
+    return quality.integrity_report(dims.load_fact_prices(silver, d), dims.with_unknown_member(d),
+                                    dim_date(spark, sf_dir), silver)
 
 
 @query("table_health")
@@ -215,6 +216,31 @@ def q_price_contract(spark, sf_dir):
         foreign_keys=[("symbol", cur, "symbol")])
 
 
+@query("fact_prices_reload")
+def q_fact_prices_reload(spark, sf_dir):
+    """K14 on reload (A9): facts up to a day are stored; a later load of the net-price
+    feed's whole history adds the days after it and changes none before."""
+    d = dim_companies(spark, sf_dir)
+    net = ind.with_daily_return(ind.clean_bars(fx.bars(spark, sf_dir, net=True)), eps=TIE_EPS)
+    stored = fact_prices(spark, sf_dir).filter(F.col("trade_date") <= F.lit(EARLIER).cast("date"))
+    out = dims.reload_facts(stored, dims.load_fact_prices(net, d))
+    return out.select("date_key", "symbol", "company_version", "close_price")
+
+
+@query("bar_directions")
+def q_bar_directions(spark, sf_dir):
+    """H15 over every bar: its candle (close below open) and its return."""
+    b = price_facts_input(spark, sf_dir)
+    d = lb.bar_direction("open_price", "close_price", "daily_return")
+    return b.select("symbol", "trade_date", d["candle_down"].alias("candle_down"), d["return_up"].alias("return_up"))
+
+
+@query("capped_bars")
+def q_capped_bars(spark, sf_dir):
+    """A read of the bars, capped; the first in order of symbol and day."""
+    return cl.capped_read(fx.bars(spark, sf_dir), "symbol", "trade_date")
+
+
 @query("date_bounds")
 def q_date_bounds(spark, sf_dir):
     return quality.date_bounds(clean_bars(spark, sf_dir))   # silver has exactly the clean bars' rows
@@ -332,6 +358,48 @@ def q_budgeted_batch(spark, sf_dir):
     return nw.budgeted_batch(pending, BUDGET_SPENT).select("content_hash", "symbol", "doc_id", "published_at")
 
 
+@query("budgeted_batch_costs")
+def q_budgeted_batch_costs(spark, sf_dir):
+    """K12 with a cost of its own for each article: one call for a short headline, more for a long one."""
+    pending = nw.unenriched_news(articles(spark, sf_dir), silver_news(spark, sf_dir))
+    pending = pending.withColumn("calls", 1 + F.floor(F.length("headline") / 40))
+    return nw.budgeted_batch(pending, BUDGET_SPENT, cost="calls").select("content_hash", "doc_id", "calls")
+
+
+FEED_ROWS, SYMBOL_ROWS, BATCH_ROWS = 200, 20, 100     # the limits of F1, F2 and F3 in the queries below
+
+
+@query("newest_feed")
+def q_newest_feed(spark, sf_dir):
+    """F1 with its limit: the newest articles."""
+    return nw.news_feed(tx.dedupe_news(articles(spark, sf_dir)), FEED_ROWS)
+
+
+@query("enrichment_batch_limited")
+def q_enrichment_batch_limited(spark, sf_dir):
+    """F2 with its limit: the newest pending articles of each symbol."""
+    pending = nw.unenriched_news(articles(spark, sf_dir), silver_news(spark, sf_dir))
+    return nw.enrichment_batch(pending, SYMBOL_ROWS).select("content_hash", "symbol", "doc_id")
+
+
+@query("embedding_batches")
+def q_embedding_batches(spark, sf_dir):
+    """F3 with its limit, both ways round: the oldest and the newest articles never embedded."""
+    s = silver_news(spark, sf_dir)
+    part = lambda newest: nw.embedding_batch(s, BATCH_ROWS, newest).select(
+        F.lit("newest" if newest else "oldest").alias("batch"), "content_hash")
+    return part(False).unionByName(part(True))
+
+
+@query("scorer_input")
+def q_scorer_input(spark, sf_dir):
+    """The text of every pending article that goes to the models."""
+    n = fx.news(spark, sf_dir)
+    bodiless = n.withColumn("raw_body", F.when(F.pmod("doc_id", F.lit(4)) != 0, F.col("raw_body")).otherwise(F.lit("")))
+    pending = nw.unenriched_news(bodiless, silver_news(spark, sf_dir))
+    return nw.scorer_input(pending).select("content_hash", "doc_id", F.sha2("text", 256).alias("text_hash"))
+
+
 @query("news_feed")
 def q_news_feed(spark, sf_dir):
     n = tx.dedupe_news(articles(spark, sf_dir))
@@ -773,11 +841,8 @@ def _news_company(df):
 def q_fact_news_sentiment(spark, sf_dir):
     """News sentiment facts keyed by day and the company version in force."""
     n = _news_company(tx.dedupe_news(articles(spark, sf_dir)))
-    d = dim_companies(spark, sf_dir).select("symbol", F.col("version").alias("company_version"),
-                                            "effective_from", "effective_to")
     day = F.to_date("published_at")
-    j = n.join(d, "symbol").filter((day >= F.col("effective_from")) &
-                                   (day <= F.coalesce(F.col("effective_to"), F.lit(dims.OPEN_END).cast("date"))))
+    j = dims.as_of_version(n, dim_companies(spark, sf_dir), day)
     return j.select(F.date_format(day, "yyyyMMdd").cast("int").alias("date_key"), "company_version", "symbol",
                     "content_hash", "headline", "summary", "sentiment_score")
 
@@ -814,7 +879,8 @@ def q_integrity_faults(spark, sf_dir):
     silver = materialize(price_facts_input(spark, sf_dir), "silver")
     d = dim_companies(spark, sf_dir, stored=True)
     return quality.integrity_report(
-        dims.load_fact_prices(silver, d), d.filter(F.pmod("symbol", F.lit(LOST_COMPANIES)) != 0),
+        dims.load_fact_prices(silver, d),
+        dims.with_unknown_member(d.filter(F.pmod("symbol", F.lit(LOST_COMPANIES)) != 0)),
         dim_date(spark, sf_dir).filter(F.dayofmonth("full_date") != LOST_DAY), silver)
 
 
@@ -840,6 +906,24 @@ def q_embedding_checks(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("embedding_gate")
+def q_embedding_gate(spark, sf_dir):
+    """K11 as a gate: the first run records model and size, the same again passes, others are refused."""
+    v, path = fx.vectors(spark, sf_dir), scratch_folder(spark, "embedding-record")
+    runs = []
+    for name, model, dim in (("first", "minilm", 64), ("again", "minilm", 64), ("other_model", "mpnet", 64),
+                             ("other_size", "minilm", 128)):
+        try:
+            quality.embedding_gate(spark, path, v, model, dim)
+            runs.append((name, True))
+        except RuntimeError:
+            runs.append((name, False))
+    cases = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(n).alias("case"), F.lit(ok).alias("accepted"))
+                                                      for n, ok in runs])).alias("c")).select("c.*")
+    stored = spark.read.parquet(path).join(v.agg(F.count("*").alias("vectors")))
+    return cases.join(stored)
+
+
 @query("unenriched_news_stored")
 def q_unenriched_news_stored(spark, sf_dir):
     """C2 against a silver table with complete, half complete and missing articles."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ticklake.functions.labels import doc_text, sentiment_label
 from ticklake.functions.numeric import rnd
-from ticklake.operators.ranking import top_n, top_n_per_key
+from ticklake.operators.ranking import running_total, top_n, top_n_per_key
 from ticklake.sources.sinks import upsert_coalesce, upsert_overwrite
 
 SENTIMENT_DAYS = 7
@@ -83,11 +83,15 @@ def enrichment_batch(pending: DataFrame, per_symbol: int | None = None) -> DataF
 
 
 def budgeted_batch(pending: DataFrame, calls_spent, limit: int = DAILY_CALL_BUDGET,
-                   cost: int = CALLS_PER_ARTICLE) -> DataFrame:
-    """As many articles (newest first) as the remaining daily call
-    budget pays for: floor((limit - spent) / cost); the cap is the feature."""
-    n = max(0, (limit - int(calls_spent)) // cost)
-    return top_n(pending, article_order(), n)
+                   cost: int | str = CALLS_PER_ARTICLE) -> DataFrame:
+    """The articles (newest first) that the remaining daily call budget
+    pays for; the cap is the feature.  One cost for all: the first
+    floor((limit - spent) / cost).  A column of costs: the articles up to
+    which the costs sum to no more than what is left."""
+    left = max(0, limit - int(calls_spent))
+    if isinstance(cost, str):
+        return running_total(pending, article_order(), cost, "_spent").filter(F.col("_spent") <= left).drop("_spent")
+    return top_n(pending, article_order(), left // cost)
 
 
 def news_feed(silver: DataFrame, rows: int | None = None) -> DataFrame:
@@ -142,16 +146,20 @@ def vector_upsert(store: DataFrame, records: DataFrame) -> DataFrame:
     return upsert_overwrite(store, records, ["id"], ["document", "metadata", "embedding", "pending"])
 
 
+def scorer_input(pending: DataFrame) -> DataFrame:
+    """(content_hash, text) that goes to the models: the body, else the headline."""
+    text = F.coalesce(F.nullif(F.col("raw_body"), F.lit("")), F.col("headline"))
+    return pending.select("content_hash", "doc_id", text.alias("text"))
+
+
 def enrich_news(bronze: DataFrame, silver: DataFrame, scores: DataFrame,
                 per_symbol: int | None = None) -> DataFrame:
     """Incremental bronze -> silver enrichment.
 
-    Pending = C2; batch = F2; text = body else headline; model output comes
-    in as ``scores`` (content_hash, summary, sentiment_score); silver is
-    updated with A11 (new value only when non-NULL)."""
-    pending = enrichment_batch(unenriched_news(bronze, silver), per_symbol)
-    batch = (pending.withColumn("text", F.coalesce(F.nullif(F.col("raw_body"), F.lit("")), F.col("headline")))
-                    .drop("summary", "sentiment_score"))
+    Pending = C2; batch = F2; model output comes in as ``scores``
+    (content_hash, summary, sentiment_score), made from ``scorer_input`` of the
+    same articles; silver is updated with A11 (new value only when non-NULL)."""
+    batch = enrichment_batch(unenriched_news(bronze, silver), per_symbol).drop("summary", "sentiment_score")
     sc = scores.select("content_hash", "summary", "sentiment_score")
     scored = batch.join(sc, "content_hash", "left").select(
         "content_hash", "symbol", "headline", "source", "published_at", "url", "summary", "sentiment_score")

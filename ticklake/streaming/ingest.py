@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from ticklake.functions.clean import (
     add_date_columns, canonical_symbol, decode_price_json, split_valid_dead, valid_condition)
-from ticklake.sources.prices import read_price_stream
-from ticklake.sources.sinks import BRONZE_PARTITIONS, MICRO_BATCH, clustered, path_exists
+from ticklake.sources.prices import read_price_batch, read_price_stream
+from ticklake.sources.sinks import BRONZE_PARTITIONS, MICRO_BATCH, clustered, path_exists, write_bronze_batch
 
 BATCH_COL = "batch_id"
 WATERMARK = "1 day"
@@ -139,6 +139,23 @@ def bronze_backfill(spark: SparkSession, source: dict, bronze_path: str, dead_pa
     q.awaitTermination()
 
 
+def ingest_price_batch(spark: SparkSession, source: dict, bronze_path: str, dead_path: str) -> int:
+    """A2: one bounded run from earliest to latest; returns the rows written
+    to bronze.  Without a row it writes nothing and returns 0."""
+    parsed = parse_messages(read_price_batch(spark, source)).persist()
+    try:
+        valid, dead = split_valid_dead(parsed)
+        ok = F.coalesce(valid_condition(), F.lit(False))
+        n = parsed.agg(F.count_if(ok).alias("valid"), F.count_if(~ok).alias("dead")).first()
+        if n["valid"]:
+            write_bronze_batch(valid, bronze_path)
+        if n["dead"]:
+            dead.write.mode("append").parquet(dead_path)
+        return n["valid"]
+    finally:
+        parsed.unpersist()
+
+
 def dedupe_messages(parsed: DataFrame, keys=("ticker", "trade_date"), event_time: str = "ingested_at",
                     watermark: str = WATERMARK) -> DataFrame:
     """Drop repeated (ticker, trade_date) messages within the watermark
