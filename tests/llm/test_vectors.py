@@ -84,3 +84,23 @@ def test_empty_and_repeated_rows(frame):
     assert [tuple(r) for r in got] == [(0, 1, 1, 1536), (0, 2, 1, 1536)]
     got = blockjoin.search(frame(data, SCHEMA), "vec_id", "embedding", F.col("vec_id") % 20 == 0, 5).collect()
     assert [tuple(r) for r in got] == [(0, 1, 1, 0.25), (0, 2, 1, 0.25)]
+
+
+def test_large_and_tiny_components(frame):
+    """Components near the ends of a double: no crash, no candidate lost."""
+    big = [(i, [s * (1 + i / 7), 1.0 - i, 0.5], "x") for i, s in enumerate([1e200, -1e200, 1e300, 1e-200, -1e-300, 1e20, 3.0])]
+    df = frame([(i + 20 * (i == 0), v, c) for i, v, c in big], "vec_id long, embedding array<double>, query_id string")
+    data = {r.vec_id: r.embedding for r in df.collect()}
+    got = {(r.query_id, r.vec_id): r.score for r in blockjoin.search(df, "vec_id", "embedding", F.col("vec_id") > -1, k=10).collect()}
+    assert set(got) == {(a, b) for a in data for b in data if a != b}
+    for (a, b), d in got.items():
+        assert d == pytest.approx(math.hypot(*(x / 4 - y / 4 for x, y in zip(data[a], data[b]))) * 4, rel=1e-12)
+    hits = bitslice.search(df, "vec_id", "embedding", F.col("vec_id") == 20, k=20).collect()
+    def q(x):
+        return math.floor(max(-2.0 ** 62, min(2.0 ** 62, 64.0 * x)))
+    want = {b: max(-2 ** 63, min(2 ** 63 - 1, sum(q(x) * q(y) for x, y in zip(data[20], data[b])))) for b in data if b != 20}
+    assert {r.vec_id: r.score for r in hits} == want
+    tiny = frame([(i, [1e-200 * i, 2e-200], "x") for i in range(1, 30)], "vec_id long, embedding array<double>, query_id string")
+    near = blockjoin.search(tiny, "vec_id", "embedding", F.col("vec_id") == 5, k=2).collect()
+    assert [(r.vec_id, r.score) for r in sorted(near, key=lambda r: r.rank)] == [
+        (4, pytest.approx(1e-200)), (6, pytest.approx(1e-200))]

@@ -40,12 +40,17 @@ INDEX_SCHEMA = "iblk long, dim int, bits int, base long, rows int, ids binary, s
 HIT_SCHEMA = "query_id long, qkey long, vec_id long, score long"
 
 
+LARGEST = 2.0 ** 62         # quantised components beyond it count as it
+LONG = 2 ** 63              # scores beyond a long count as the largest (least) long
+
+
 def quantise(vectors: DataFrame, id_col: str, vec_col: str, scale: int = 64) -> DataFrame:
-    """(vec_id, q array<long>) of the vectors that take part."""
+    """(vec_id, q array<long>) of the vectors that take part; ``LARGEST`` bounds q."""
+    def integer(x: Column) -> Column:
+        return F.floor(F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.lit(scale) * x.cast("double")))).cast("long")
+
     return (vectors.where(valid_vector(F.col(vec_col)))
-            .select(F.col(id_col).cast("long").alias("vec_id"),
-                    F.transform(vec_col, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
-                    .alias("q"))
+            .select(F.col(id_col).cast("long").alias("vec_id"), F.transform(vec_col, integer).alias("q"))
             .where("vec_id IS NOT NULL"))
 
 
@@ -180,15 +185,17 @@ class Block:
         rows = set_rows(sure)
         if len(rows) < k:
             rows = np.concatenate([rows, set_rows(tied)[:k - len(rows)]])
-        score = np.zeros(len(rows), dtype=np.int64)
+        # whole numbers of any size: a few rows, and large components pass the range of a long
+        score = [0] * len(rows)
         for w, s in enumerate(slices):
             if s is not None:
                 bit = (s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)
-                score += bit.astype(np.int64) << w
+                for i in np.flatnonzero(bit).tolist():
+                    score[i] += 1 << w
         # sum q*a = sum over q>0 of q*(u+base) + sum over q<0 of |q|*(~u) - |q|*(full + base)
         full = (1 << self.bits) - 1
-        shift = int(q[q > 0].sum()) * self.base - int(mag[q < 0].sum()) * (full + self.base)
-        return self.ids[rows], score + shift
+        shift = sum(q[q > 0].tolist()) * self.base - sum(mag[q < 0].tolist()) * (full + self.base)
+        return self.ids[rows], np.array([max(-LONG, min(LONG - 1, s + shift)) for s in score], dtype=np.int64)
 
 
 def search(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int, scale: int = 64,

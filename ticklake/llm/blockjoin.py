@@ -33,17 +33,37 @@ from ticklake.llm.common import blocks_for, store, valid_vector
 ROWS_PER_BLOCK = 16_384
 QUERIES_PER_BLOCK = 256
 TILE_CELLS = 2_000_000      # distances held at once
+LEAST, MOST = 1e-140, 1e140  # magnitudes whose squares a double holds well
 
 BLOCK_SCHEMA = "blk long, dim int, ids binary, vectors binary, codes binary, scales binary, errors binary"
 HIT_SCHEMA = "query_id long, qkey long, vec_id long, score double"
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes int8, scale, error norm) of each row of x."""
+    """(codes int8, scale, error norm) of each row of x.  A row whose
+    components are too large or too small for their squares gets scale NaN:
+    no bound holds for it, so it survives every tile and is computed whole."""
     scale = np.abs(x).max(axis=1) / 127.0
-    codes = np.rint(x / scale[:, None]).astype(np.int8)
-    lost = x - codes * scale[:, None]
-    return codes, scale, np.sqrt((lost * lost).sum(axis=1))
+    scale = np.where((scale > LEAST) & (scale < MOST), scale, np.nan)
+    usable = np.where(np.isnan(scale), np.inf, scale)
+    codes = np.rint(x / usable[:, None]).astype(np.int8)
+    lost = x - codes * np.where(np.isnan(scale), 0.0, scale)[:, None]
+    with np.errstate(over="ignore"):
+        return codes, scale, np.sqrt((lost * lost).sum(axis=1))
+
+
+def distances(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances; where squares would overflow or vanish, of scaled gaps."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        gap = rows - query
+        out = np.sqrt((gap * gap).sum(axis=1))
+        odd = np.flatnonzero(~np.isfinite(out) | (out < LEAST))
+        if len(odd):
+            half = rows[odd] / 2 - query / 2
+            size = np.abs(half).max(axis=1)
+            unit = half / np.where(size > 0, size, 1.0)[:, None]
+            out[odd] = 2 * (size * np.sqrt((unit * unit).sum(axis=1)))
+    return out
 
 
 def pack(rows: DataFrame, n_blocks: int) -> DataFrame:
@@ -90,9 +110,10 @@ def survivors(qc, qs, qe, rc, rs, re_, k: int) -> Iterator[np.ndarray]:
     slack = 1e-9 * (nq[:, None] + nr[None, :])          # rounding of the three terms
     low = np.sqrt(np.maximum(square - slack, 0.0)) - (qe[:, None] + re_[None, :]) * (1 + 1e-9)
     high = np.sqrt(np.maximum(square + slack, 0.0)) + (qe[:, None] + re_[None, :]) * (1 + 1e-9)
+    high = np.where(np.isnan(high), np.inf, high)
     for i in range(len(qc)):
         bound = np.partition(high[i], k - 1)[k - 1] if high.shape[1] > k else np.inf
-        yield np.flatnonzero(low[i] <= bound)
+        yield np.flatnonzero(~(low[i] > bound))          # what has no bound (NaN) stays
 
 
 def search(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int,
@@ -133,8 +154,7 @@ def search(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k: i
                     left_over = survivors(qc[part], qs[part], qe[part], rc, rs, re_, k + own)
                     for i, cand in enumerate(left_over, lo):
                         cand = cand[ids[cand] != q_ids[i]]
-                        gap = x[cand] - qx[i]
-                        dist = np.sqrt((gap * gap).sum(axis=1))
+                        dist = distances(x[cand], qx[i])
                         heap = heapq.nsmallest(k, zip(dist.tolist(), ids[cand].tolist(), strict=True))
                         out += [(int(q_ids[i]), vector_key(qx[i]), v, d) for d, v in heap]
                 cols = list(zip(*out, strict=True)) if out else [[], [], [], []]
