@@ -84,3 +84,29 @@ def test_files(frame, tmp_path):
         assert rest[size:size + 4] == b"\r\n\r\n"
         data, n = rest[size + 4:], n + 1
     assert n == 14
+
+
+def test_unclosed_elements_are_read_once():
+    import time
+
+    from ticklake.llm.warc import links_of, page_text, shown
+    for piece in ("<script>", "<script", "<!--", "<style>", "<a", "<p ", "<a href=x "):
+        t = time.process_time()
+        page_text(piece * 100_000), links_of(shown(piece * 100_000))
+        assert time.process_time() - t < 5, piece
+    assert page_text("a<!-- <a href=x>b</a> -->c<script>d</script>e<script>f") == "acef"
+    assert page_text("x<p>y<br/>z<pre>w<pretty>v<P >u") == "x\ny\nz\nwv\nu"
+
+
+def test_hidden_links_and_header_line_ends(frame):
+    rows = [(1, "http://a/\r\nWARC-Type: evil", '<html lang="en\r\nX: y"><!-- <a href="no">--><script>"<a href=\'no\'>"</script>'
+                                                '<a href="yes">t</a>')]
+    from ticklake.llm import warc
+    got = warc.derive(warc.responses(frame(rows, "page_id long, url string, html string"))).collect()
+    for r in got:
+        head, block = r.record.split("\r\n\r\n", 1)
+        names = [line.split(":")[0] for line in head.split("\r\n")[1:]]
+        assert names.count("WARC-Type") == 1 and "WARC-Target-URI: http://a/%0D%0AWARC-Type: evil" in head.split("\r\n")
+        if r.kind == "metadata":
+            assert [x for x in block.split("\r\n") if x.startswith("outlink")] == ["outlink: yes"]
+            assert "language: en X: y" in block.split("\r\n")

@@ -97,9 +97,9 @@ b AS (
     'http-status: 200', e, 'http-content-type: text/html; charset=utf-8', e,
     'title: ', trim(regexp_replace({_entities("regexp_extract(h, '(?i)<title[^>]*>([^<]*)', 1)")},
                                    '[ \\t\\r\\n]+', ' ', 'g')), e,
-    'language: ', regexp_extract(h, '(?i)<html[^>]* lang="([^"]*)"', 1), e,
+    'language: ', regexp_replace(regexp_extract(h, '(?i)<html[^>]* lang="([^"]*)"', 1), '[\r\n]+', ' ', 'g'), e,
     'payload-digest: sha256:', sha256(h), e,
-    coalesce(array_to_string(list_transform(regexp_extract_all(h, '(?i)<a [^>]*?href="([^"]*)"', 1),
+    coalesce(array_to_string(list_transform(regexp_extract_all({_BARE}, '(?i)<a [^>]*?href="([^"]*)"', 1),
                                             lambda x: concat('outlink: ', {_entities("x")}, e)), ''), '')) AS block
   FROM p
   UNION ALL BY NAME
@@ -109,7 +109,7 @@ r AS (SELECT *, {_urn("concat(kind, ':', refers_to)")} AS record_id, concat('sha
       FROM b)
 SELECT source_id, kind, record_id, refers_to, target_uri, payload_digest, block_digest, n_bytes, block,
        concat('WARC/1.1', e, 'WARC-Type: ', kind, e, 'WARC-Record-ID: ', record_id, e, 'WARC-Refers-To: ', refers_to, e,
-              CASE WHEN target_uri IS NULL THEN '' ELSE concat('WARC-Target-URI: ', target_uri, e) END,
+              CASE WHEN target_uri IS NULL THEN '' ELSE concat('WARC-Target-URI: ', replace(replace(target_uri, chr(13), '%0D'), chr(10), '%0A'), e) END,
               'WARC-Date: 2000-01-01T00:00:00Z', e,
               CASE WHEN kind = 'conversion' THEN concat('WARC-Refers-To-Payload-Digest: ', payload_digest, e)
                    ELSE '' END,

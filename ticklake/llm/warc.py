@@ -88,6 +88,43 @@ def links_of(html: str) -> list[str]:
     return out
 
 
+def without(html: str, opener: re.Pattern, closer: re.Pattern, by: str = "") -> str:
+    """The text without each stretch from an opener to the next closer; an
+    opener that no closer follows stays, and so do all after it (one pass)."""
+    out, at = [], 0
+    while (start := opener.search(html, at)) and (end := closer.search(html, start.end())):
+        out += [html[at:start.start()], by]
+        at = end.end()
+    return "".join([*out, html[at:]])
+
+
+ASCII = re.IGNORECASE | re.ASCII
+COMMENT, COMMENT_END = re.compile("<!--"), re.compile("-->")
+SCRIPT, SCRIPT_END = re.compile("<script", ASCII), re.compile("</script>", ASCII)
+STYLE, STYLE_END = re.compile("<style", ASCII), re.compile("</style>", ASCII)
+BLOCK_TAG, TAG = re.compile(f"</?(?:{BLOCK_TAGS})(?=/?>| )", ASCII), re.compile("<[a-zA-Z/!]")
+TAG_END = re.compile(">")
+
+
+def shown(html: str) -> str:
+    """The page without comments, scripts and styles."""
+    html = without(html, COMMENT, COMMENT_END)
+    # an element ends at the first closer after its own opening tag
+    for opener, closer in ((SCRIPT, SCRIPT_END), (STYLE, STYLE_END)):
+        out, at = [], 0
+        while (start := opener.search(html, at)) and (tag := TAG_END.search(html, start.end())) and (
+                end := closer.search(html, tag.end())):
+            out.append(html[at:start.start()])
+            at = end.end()
+        html = "".join([*out, html[at:]])
+    return html
+
+
+def page_text(html: str) -> str:
+    """Text without tags (block tags end a line), references decoded."""
+    return decoded(without(without(shown(html), BLOCK_TAG, TAG_END, "\n"), TAG, TAG_END))
+
+
 def decode_references(text: Column) -> Column:
     @F.arrow_udf("string")
     def decode(texts: pa.Array) -> pa.Array:
@@ -96,21 +133,25 @@ def decode_references(text: Column) -> Column:
     return decode(text)
 
 
-def out_links(html: Column) -> Column:
-    @F.arrow_udf("array<string>")
-    def links(pages: pa.Array) -> pa.Array:
-        return pa.array([links_of(h or "") for h in pages.to_pylist()], pa.list_(pa.string()))
+PAGE = pa.struct([("links", pa.list_(pa.string())), ("text", pa.string())])
+
+
+def page_parts(html: Column) -> Column:
+    """struct(links, text) of a page."""
+    @F.arrow_udf("links array<string>, text string")
+    def parts(pages: pa.Array) -> pa.Array:
+        return pa.array([{"links": links_of(shown(h or "")), "text": page_text(h or "")} for h in pages.to_pylist()], PAGE)
+
+    return parts(html)
+
 
-    return links(html)
+def one_line(text: Column) -> Column:
+    """A header value: a line end in it would begin another header."""
+    return replace_all(text, "[\\r\\n]+", " ")
 
 
-def bare_text(html: Column) -> Column:
-    """Text without tags, references as they are."""
-    text = replace_all(html, "(?s)<!--.*?-->", "")
-    text = replace_all(text, "(?is)<script[^>]*>.*?</script>", "")
-    text = replace_all(text, "(?is)<style[^>]*>.*?</style>", "")
-    text = replace_all(text, f"(?i)</?({BLOCK_TAGS})(/| [^>]*)?>", "\n")
-    return replace_all(text, "<[a-zA-Z/!][^>]*>", "")
+def uri(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
 def folded(text: Column) -> Column:
@@ -160,12 +201,13 @@ def derive(rows: DataFrame) -> DataFrame:
         digest(html).alias("payload_digest"),
         F.regexp_extract(html, '(?i)<html[^>]* lang="([^"]*)"', 1).alias("language"),
         decode_references(F.regexp_extract(html, "(?i)<title[^>]*>([^<]*)", 1)).alias("title"),
-        out_links(html).alias("links"), decode_references(bare_text(html)).alias("text"))
+        page_parts(html).alias("page"))
+    found = found.select("*", "page.links", "page.text")
     fields = F.concat(
         F.lit("http-status: "), F.regexp_extract("heads", "^HTTP/[0-9.]+ ([0-9]+)", 1), F.lit(CRLF),
         header_fields(F.col("heads")),
         F.lit("title: "), F.trim(replace_all(F.col("title"), "[ \\t\\r\\n]+", " ")), F.lit(CRLF),
-        F.lit("language: "), F.col("language"), F.lit(CRLF),
+        F.lit("language: "), one_line(F.col("language")), F.lit(CRLF),
         F.lit("payload-digest: "), F.col("payload_digest"), F.lit(CRLF),
         F.array_join(F.transform("links", lambda x: F.concat(F.lit("outlink: "), x, F.lit(CRLF))), ""))
     both = F.array(F.struct(F.lit("metadata").alias("kind"), fields.alias("block")),
@@ -175,12 +217,12 @@ def derive(rows: DataFrame) -> DataFrame:
         "source_id", "r.kind", urn(F.concat("r.kind", F.lit(":"), "refers_to")).alias("record_id"), "refers_to",
         "target_uri", "date", "payload_digest", digest(F.col("r.block")).alias("block_digest"),
         F.octet_length("r.block").cast("long").alias("n_bytes"), "r.block")
-    header = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
+    header = lambda name, value: F.concat(F.lit(f"{name}: "), one_line(value), F.lit(CRLF))
     is_text = F.col("kind") == "conversion"
     head = F.concat(
         F.lit(f"WARC/1.1{CRLF}"), header("WARC-Type", F.col("kind")), header("WARC-Record-ID", F.col("record_id")),
         header("WARC-Refers-To", F.col("refers_to")),
-        F.coalesce(header("WARC-Target-URI", F.col("target_uri")), F.lit("")), header("WARC-Date", F.col("date")),
+        F.coalesce(header("WARC-Target-URI", uri(F.col("target_uri"))), F.lit("")), header("WARC-Date", F.col("date")),
         F.when(is_text, header("WARC-Refers-To-Payload-Digest", F.col("payload_digest"))).otherwise(""),
         header("WARC-Block-Digest", F.col("block_digest")),
         header("Content-Type", F.when(is_text, "text/plain; charset=utf-8").otherwise("application/warc-fields")),
