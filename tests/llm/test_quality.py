@@ -60,3 +60,33 @@ def test_cut_lies_at_the_share_of_label_0():
         x[:, 1] += 0.3 * y
         rejected = np.mean(q.fit(x, y).score(x) < q.CUT)
         assert abs(rejected - np.mean(y == 0)) <= q.NEAR + 0.002
+
+
+def test_labels_of_another_integer_type(frame):
+    docs = frame([(i, "good words here " * 5 if i % 2 else "zz 9 9") for i in range(1, 40)], "doc_id long, text string")
+    labels = frame([(i, i % 2) for i in range(1, 40)], "doc_id long, quality long")
+    model = q.train(docs, labels)
+    scores = {r.doc_id: r.score for r in q.score(docs, model).collect()}
+    assert all((scores[i] >= q.CUT) == bool(i % 2) for i in scores)
+
+
+def test_weights_are_those_of_a_plain_pairwise_loss():
+    """Newton steps against gradient descent on the same pairs' loss."""
+    rng = np.random.default_rng(2)
+    y = (rng.random(60) < 0.5).astype(int)
+    x = rng.normal(0, 1, (60, q.N_FEATURES)) + y[:, None] * 0.4
+    model = q.fit(x, y)
+    z = np.clip((x - model.mean) / model.spread, -8, 8)
+    win, lose = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    draw = np.random.default_rng(7)
+    pairs = [(a, b) for a, b in zip(np.repeat(lose, q.PAIRS_PER_LOSER),
+                                    win[draw.integers(0, len(win), len(lose) * q.PAIRS_PER_LOSER)])]
+    pairs += list(zip(lose[draw.integers(0, len(lose), len(win))], win))
+    w = np.zeros(q.N_FEATURES)
+    for _ in range(4000):
+        grad = q.RIDGE * w
+        for part in np.array_split(np.array(pairs), 1):
+            d = z[part[:, 1]] - z[part[:, 0]]
+            grad = grad + d.T @ (1 / (1 + np.exp(-d @ w)) - 1) / len(pairs)
+        w = w - 0.3 * grad
+    assert np.allclose(w, model.weights, atol=2e-2 * max(1.0, np.abs(w).max()))

@@ -88,5 +88,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     total = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines))
     return joined.select(
         *[F.when(hit, F.array_join("_ld_kept", "\n")).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c)
-          for c in docs.columns],
+          for c in docs.columns if c not in (n_lines, n_removed)],
         total.alias(n_lines), F.when(hit, total - F.size("_ld_kept")).otherwise(0).alias(n_removed))

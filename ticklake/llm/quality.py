@@ -140,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     driver is bounded by ``MAX_LABELLED`` however often an id repeats."""
     known = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
              .where(id_remainder(F.col(id_col), folds) != 0)
-             .groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label_col).alias("label"))
+             .groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label_col).cast("int").alias("label"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
