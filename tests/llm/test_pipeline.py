@@ -64,3 +64,11 @@ def test_odd_rows(spark, frame):
     for _, stage in cp.STAGES[1:]:
         docs = stage(spark, docs, SF)
     assert {r["doc_id"] for r in docs.collect()} <= {None, 1, 2, 3}
+
+
+def test_own_domain_column_passes_through(spark):
+    import corpus_pipeline
+    docs = spark.createDataFrame([(i, f"word {i} " * 20, "en", f"s{i % 3}", 9, "mine") for i in range(30)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, domain string")
+    out = corpus_pipeline.mixing_stage(spark, docs, None)
+    assert out.columns == docs.columns and {r.domain for r in out.select("domain").collect()} == {"mine"}

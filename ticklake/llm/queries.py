@@ -42,10 +42,10 @@ MIX_WEIGHTS = [{"web": 4, "books": 3, "news": 2, "code": 1}, {"en": 5, "de": 2,
 MIX_SEED = 17
 
 
-def with_domain(docs: DataFrame) -> DataFrame:
+def with_domain(docs: DataFrame, name: str = "domain") -> DataFrame:
     """The tables name no domain: sources are dealt to four by their md5."""
     first = F.substring(F.md5(F.coalesce("source", F.lit("")).cast("binary")), 1, 1)
-    return docs.withColumn("domain", F.when(first < "4", "web").when(first < "8", "books")
+    return docs.withColumn(name, F.when(first < "4", "web").when(first < "8", "books")
                            .when(first < "c", "news").otherwise("code"))
 
 
