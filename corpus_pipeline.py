@@ -36,9 +36,12 @@ def near_duplicate_stage(spark, docs, sf_dir):
 
 
 def mixing_stage(spark, docs, sf_dir):
-    """Three quarters of the tokens, no document more than once."""
-    mixed = mixing.mix(queries.with_domain(docs), queries.MIX_LEVELS, queries.MIX_WEIGHTS, share=(3, 4), epochs=1,
-                       seed=queries.MIX_SEED)
+    """Three quarters of the tokens, no document more than once.  The level
+    that the documents lack has a name of its own: a column ``domain`` of
+    theirs passes through."""
+    domain = "_mixing_" + queries.MIX_LEVELS[0]
+    mixed = mixing.mix(queries.with_domain(docs, domain), [domain, *queries.MIX_LEVELS[1:]], queries.MIX_WEIGHTS,
+                       share=(3, 4), epochs=1, seed=queries.MIX_SEED)
     return mixed.select(docs.columns)
 
 
