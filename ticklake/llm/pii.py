@@ -337,9 +337,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
             yield pa.record_batch([pa.array(c, k) for c, k in zip(
                 cols, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["h", "x", "y", "e"])
 
-    # copies of a text with one id count once
+    # copies of a text with one id count once, and go before anything reaches the driver
     got = sorted({tuple(map(bytes, r[1:])) + (r[0],) for r in
-                  rows.where(F.col("h") <= last).mapInArrow(run, "h long, x binary, y binary, e binary").collect()},
+                  rows.where(F.col("h") <= last).dropDuplicates(["h"]).mapInArrow(run, "h long, x binary, y binary, e binary").collect()},
                  key=lambda r: r[3])
     x, y, edges, at = [], [], [], 0
     for fx, fy, fe, _ in got:
