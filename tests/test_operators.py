@@ -148,7 +148,7 @@ def test_stored_and_pending_vectors_are_all_articles(spark):
     ids = lambda df: sorted(r["id"] for r in df.collect())
     everything = sorted(r["content_hash"] for r in tx.dedupe_news(articles(spark, sf)).collect())
     stored = REGISTRY["vector_upsert"](spark, sf)
-    assert ids(stored) == everything and {r["pending"] for r in stored.select("pending").distinct().collect()} == {True, False}
+    assert ids(stored) == everything
     a = spark.createDataFrame([("h1", 1), ("h2", 2), ("h3", None)], "content_hash string, doc_id long")
     a = a.selectExpr("*", "'A' symbol", "'u' url", "timestamp'2024-01-01' published_at", "1.0D sentiment_score",
                      "'head' headline", "'sum' summary")
@@ -205,3 +205,53 @@ def test_one_headline_rule_for_storing_and_hashing(spark):
     done = nw.enrich_news(d.filter("headline is not null"), silver.drop("doc_id", "raw_body"), scores)
     assert done.count() == 4 and done.filter("summary is null or sentiment_score is null").count() == 0
     assert nw.unenriched_news(d.filter("headline is not null"), done).count() == 0
+
+
+def test_cosine_topk_of_odd_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, None), (4, []), (5, [1.0, None]), (6, [float("nan"), 1.0]), (7, [1.0, 0.0, 0.0]),
+            (8, [0.0, 1.0, 0.0]), (9, [0.0, 0.0])]
+    v = spark.createDataFrame(rows, "query_id long, embedding array<double>")
+    got = {(r["query_id"], r["doc_id"]) for r in
+           vx.cosine_topk(v, v.withColumnRenamed("query_id", "doc_id"), 3, exclude_self=True).collect()}
+    assert got == {(1, 2), (2, 1), (7, 8), (8, 7)}
+    empty = v.limit(0)
+    assert vx.cosine_topk(empty, empty.withColumnRenamed("query_id", "doc_id")).count() == 0
+
+
+def test_running_total_over_partitions(spark):
+    from ticklake.operators.ranking import running_total
+    rows = [(i, (i * 7) % 5) for i in range(500)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "k long, cost long").repartition(7)
+    got = {r["k"]: r["running_total"] for r in running_total(df, [F.col("k").desc()], "cost").collect()}
+    total = 0
+    for k, c in sorted(rows, reverse=True):
+        total += c
+        assert got[k] == total
+
+
+def test_every_fact_is_kept(spark):
+    """A fact on, before and between versions, of an unknown company, and on a far day."""
+    dim = spark.createDataFrame(
+        [(11, 1, 1, dt.date(2000, 1, 1), dt.date(2009, 12, 31)), (12, 1, 2, dt.date(2010, 1, 1), dt.date(2012, 6, 30)),
+         (13, 1, 3, dt.date(2013, 1, 1), None)],
+        "company_key long, symbol long, version int, effective_from date, effective_to date").withColumn("is_current", F.lit(True))
+    days = [(1, dt.date(1999, 12, 31), 0), (1, dt.date(2000, 1, 1), 1), (1, dt.date(2009, 12, 31), 1), (1, dt.date(2010, 1, 1), 2),
+            (1, dt.date(2012, 7, 1), 0), (1, dt.date(2013, 1, 1), 3), (1, dt.date(2150, 1, 1), 3), (2, dt.date(2013, 1, 1), 0),
+            (None, dt.date(2013, 1, 1), 0)]
+    facts = spark.createDataFrame(days, "symbol long, day date, want int")
+    got = dims.as_of_version(facts, dim, F.col("day")).collect()
+    assert len(got) == len(days) and all(r["company_version"] == r["want"] for r in got)
+    assert dims.with_unknown_member(dim).filter("company_key = -1 and version = 0 and not is_current").count() == 1
+
+
+def test_batches_drain_the_pending_articles(spark):
+    from ticklake.plans import news as nw
+    s = spark.createDataFrame([(f"h{i}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i % 7)) for i in range(23)],
+                              "content_hash string, published_at timestamp_ntz").withColumn(
+        "embedding_updated_at", F.lit(None).cast("timestamp_ntz"))
+    rounds = 0
+    while (batch := nw.embedding_batch(s, 10)).count():
+        s = spark.createDataFrame(nw.mark_processed(s, batch, "2024-02-01").collect(), s.schema)
+        rounds += 1
+    assert rounds == 3 and s.filter("embedding_updated_at is null").count() == 0

@@ -18,7 +18,7 @@ FAST = ["daily_bars", "enriched_prices", "market_pulse", "rsi_simple", "portfoli
         "integrity_faults", "news_contract", "embedding_checks", "unenriched_news_stored", "news_refresh",
         "fundamentals_upsert", "earnings_upsert", "csv_export", "bronze_batch", "stream_two_sinks", "clean_articles",
         "number_labels", "run_audit_log", "call_counter", "recombine_chunks", "vector_upsert", "merge_prices",
-        "append_live_bar", "stream_bronze", "stream_exactly_once", "stream_audit", "stream_late_rows"]
+        "append_live_bar", "stream_bronze", "log_offsets", "budgeted_batch_costs", "fact_prices_reload", "embedding_gate", "stream_exactly_once", "stream_audit", "stream_late_rows"]
 
 
 def _norm(v):

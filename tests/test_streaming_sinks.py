@@ -208,3 +208,27 @@ def test_small_prices_keep_their_mean(spark):
     w = Window.partitionBy("symbol").orderBy("trade_date")
     got = ind.rolling_mean_exact(df, "close_price", [20], w).orderBy("trade_date").collect()[-1]["_sma_20"]
     assert abs(got - 0.00004) < 1e-12
+
+
+def test_log_offsets_and_zero_rows(spark, tmp_path):
+    """Lost offsets are skipped or refused; an empty range writes nothing and gives 0."""
+    from ticklake.sources import pricelog
+    path, out = str(tmp_path / "log"), str(tmp_path / "out")
+    m = src.messages(spark, SF)
+    for _ in range(2):
+        pricelog.append_log(m, path, F.pmod("event_id", F.lit(2)), 2, segment_rows=100)
+    n = m.count()
+    read = lambda **o: src.read_price_batch(spark, {"format": "log", "path": path, **o})
+    assert read().count() == 2 * n and read().select("partition", "offset").distinct().count() == 2 * n
+    latest = '{"0": %d, "1": %d}' % tuple(s[-1][1] for _, s in sorted(pricelog.segments(path).items()))
+    source = {"format": "log", "path": path, "startingOffsets": latest}
+    assert ingest.ingest_price_batch(spark, source, out + "/bronze", out + "/dead") == 0 and not os.path.exists(out)
+    written = ingest.ingest_price_batch(spark, {"format": "log", "path": path}, out + "/bronze", out + "/dead")
+    assert written == spark.read.parquet(out + "/bronze").count() == 2 * cl.split_valid_dead(ingest.parse_messages(m))[0].count()
+    pricelog.retain_log(path, {0: 100})
+    assert read(startingOffsets='{"0": 0, "1": 0}').count() == 2 * n - 100
+    try:
+        read(startingOffsets='{"0": 0}', failOnDataLoss="true").count()
+        raise AssertionError("lost offsets went unnoticed")
+    except Exception as e:
+        assert "are lost" in str(e)

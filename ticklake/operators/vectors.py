@@ -16,7 +16,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,9 @@ def _local_topk(k: int, exclude_self: bool):
             return pd.DataFrame({"query_id": pd.Series([], dtype="int64"),
                                  "doc_id": pd.Series([], dtype="int64"),
                                  "similarity": pd.Series([], dtype="float64")})
-        qv = np.vstack(q["vec"].to_numpy()).astype("float64")
-        dv = np.vstack(d["vec"].to_numpy()).astype("float64")
+        size = len(d["vec"].iloc[0])                       # a cogroup holds vectors of one length
+        qv = np.concatenate(q["vec"].to_numpy()).reshape(-1, size).astype("float64")
+        dv = np.concatenate(d["vec"].to_numpy()).reshape(-1, size).astype("float64")
         qn = np.linalg.norm(qv, axis=1)
         dn = np.linalg.norm(dv, axis=1)
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -60,6 +61,12 @@ def _local_topk(k: int, exclude_self: bool):
     return fn
 
 
+def usable(vec: str) -> Column:
+    """Neither null nor empty, every component a finite number."""
+    finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
+    return F.coalesce(F.col(vec).isNotNull() & (F.size(vec) > 0) & finite, F.lit(False))
+
+
 def cosine_topk(queries: DataFrame, docs: DataFrame, k: int = TOP_K, *,
                 query_id: str = "query_id", doc_id: str = "doc_id", vec: str = "embedding",
                 exclude_self: bool = False, block_rows: int = BLOCK_ROWS,
@@ -67,19 +74,23 @@ def cosine_topk(queries: DataFrame, docs: DataFrame, k: int = TOP_K, *,
     """K nearest documents per query by cosine similarity.
 
     Returns (query_id, doc_id, rank, similarity, distance = 1 - similarity);
-    ties are broken by the smaller doc_id.
+    ties are broken by the smaller doc_id.  Vectors that are null, empty, zero
+    or hold a null or non-finite component take no part, and vectors are
+    compared with those of their own length only.
     """
+    queries, docs = queries.filter(usable(vec)), docs.filter(usable(vec))
     # as many blocks as bound their size, and enough pairs of blocks for the tasks there are
     spread = math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism))
     nq = max(spread, math.ceil(queries.count() / block_rows))
     nd = max(spread, math.ceil(docs.count() / block_rows))
     q = queries.select(F.col(query_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
     d = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+    q, d = q.withColumn("n", F.size("vec")), d.withColumn("n", F.size("vec"))
     q = (q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(nq)))
           .withColumn("db", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nd - 1).cast("long")))))
     d = (d.withColumn("db", F.pmod(F.xxhash64("id"), F.lit(nd)))
           .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nq - 1).cast("long")))))
-    part = (q.groupBy("qb", "db").cogroup(d.groupBy("qb", "db"))
+    part = (q.groupBy("qb", "db", "n").cogroup(d.groupBy("qb", "db", "n"))
              .applyInPandas(_local_topk(k, exclude_self), schema=_PAIR_SCHEMA))
     w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), F.col("doc_id"))
     top = part.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -289,6 +289,7 @@ from ticklake.operators import text as tx  # noqa: E402
 from ticklake.operators import vectors as vx  # noqa: E402
 from ticklake.plans import live  # noqa: E402
 from ticklake.plans import news as nw  # noqa: E402
+from ticklake.sources import pricelog  # noqa: E402
 from ticklake.sources import prices as src  # noqa: E402
 from ticklake.sources import sinks  # noqa: E402
 from ticklake.sources.versioned import VersionedTable  # noqa: E402
@@ -631,6 +632,38 @@ def q_stream_dedupe(spark, sf_dir):
     return spark.read.parquet(base + "/dedup").select("ticker", "trade_date")
 
 
+LOG_PARTITIONS = 4
+
+
+@query("log_offsets")
+def q_log_offsets(spark, sf_dir):
+    """A1, A2 over a log with offsets: a stream reads the first third of the
+    messages; what it has read and, unread, partition 0 of the second third
+    are dropped; the stream goes on from its checkpoint, and a batch reads
+    what is left."""
+    base = scratch_folder(spark, "log")
+    m, options = src.messages(spark, sf_dir), {"format": "log", "path": base + "/log"}
+
+    def append(k):
+        pricelog.append_log(m.filter(F.pmod("event_id", F.lit(3)) == k).withColumn("key", F.col("event_id")), base + "/log",
+                            F.pmod("event_id", F.lit(LOG_PARTITIONS)), LOG_PARTITIONS)
+
+    def run():
+        (src.read_price_stream(spark, options).writeStream.format("parquet").option("path", base + "/out")
+         .option("checkpointLocation", base + "/ck").trigger(availableNow=True).start().awaitTermination())
+
+    append(0)
+    run()
+    read = {p: s[-1][1] for p, s in pricelog.segments(base + "/log").items()}
+    append(1)
+    pricelog.retain_log(base + "/log", read | {0: pricelog.segments(base + "/log")[0][-1][1]})
+    append(2)
+    run()
+    part = lambda name, df: df.select(F.lit(name).alias("reader"), F.col("key").cast("long").alias("event_id"),
+                                      "partition", F.length("value").alias("chars"))
+    return part("stream", spark.read.parquet(base + "/out")).unionByName(part("batch", src.read_price_batch(spark, options)))
+
+
 @query("market_hours")
 def q_market_hours(spark, sf_dir):
     from ticklake.sources.tables import read_table

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticklake.functions.clean import safe_float
+from ticklake.sources import pricelog
 from ticklake.sources.tables import read_table
 
 
@@ -21,10 +22,14 @@ def kafka_available(spark: SparkSession) -> bool:
 def read_price_stream(spark: SparkSession, options: dict) -> DataFrame:
     """A1: unbounded scan of price messages exposing a ``value`` column.
 
-    Kafka when its connector is on the classpath (earliest offsets, lost
-    offsets tolerated); otherwise a text-file stream over ``options['path']``
-    with the same single ``value`` contract.
+    Kafka when its connector is on the classpath, or the log folder of
+    ``sources.pricelog`` (format ``log``): earliest offsets, lost offsets
+    tolerated; otherwise a text-file stream over ``options['path']`` with the
+    same single ``value`` contract.
     """
+    if options.get("format") == "log":
+        pricelog.register(spark)
+        return spark.readStream.format("price_log").options(**{k: str(v) for k, v in options.items() if k != "format"}).load()
     if options.get("format", "kafka") == "kafka" and kafka_available(spark):
         return (spark.readStream.format("kafka")
                 .option("kafka.bootstrap.servers", options["bootstrap"])
@@ -40,6 +45,9 @@ def read_price_stream(spark: SparkSession, options: dict) -> DataFrame:
 
 def read_price_batch(spark: SparkSession, options: dict) -> DataFrame:
     """A2: bounded scan (earliest -> latest) with the same contract as A1."""
+    if options.get("format") == "log":
+        pricelog.register(spark)
+        return spark.read.format("price_log").options(**{k: str(v) for k, v in options.items() if k != "format"}).load()
     if options.get("format", "kafka") == "kafka" and kafka_available(spark):
         return (spark.read.format("kafka")
                 .option("kafka.bootstrap.servers", options["bootstrap"])
