@@ -255,3 +255,48 @@ def test_batches_drain_the_pending_articles(spark):
         s = spark.createDataFrame(nw.mark_processed(s, batch, "2024-02-01").collect(), s.schema)
         rounds += 1
     assert rounds == 3 and s.filter("embedding_updated_at is null").count() == 0
+
+
+def test_cosine_topk_scores_ties_alike_and_tells_near_vectors_apart(spark):
+    """Copies of a vector (also under one id) tie whatever tile they are in, and differences
+    below single precision decide; scored in tiles, a block never holds all its scores."""
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(300, 7))
+    v[40:200:3] = v[1]                                          # copies
+    for i in range(200, 230):
+        v[i] = v[2]
+        v[i, 0] += (i - 199) * 1e-10                            # near copies
+    v = v.round(12)
+    ids = [i if i % 50 else i // 100 * 100 for i in range(300)]  # some ids twice
+    rows = [(ids[i], v[i].tolist()) for i in range(300)]
+    qdf = spark.createDataFrame(rows + [(None, [1.0] * 7)], "query_id long, embedding array<double>")
+    ddf = qdf.withColumnRenamed("query_id", "doc_id")
+    top = vx.cosine_topk(qdf, ddf, 3, exclude_self=True)
+    best = {}
+    for i, q in zip(ids, v):
+        for j, d in zip(ids, v):
+            if i != j:
+                best.setdefault(i, []).append((-(q * d).sum() / (np.linalg.norm(q) * np.linalg.norm(d)), j))
+    got = {}
+    for r in sorted(top.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["doc_id"])
+    odd = {i for i, s in best.items() if len({round(x, 14) for x, _ in sorted(s)[:4]}) > 1
+           and any(0 < b - a < 1e-14 for a, b in zip(sorted(x for x, _ in s)[:3], sorted(x for x, _ in s)[1:4]))}
+    assert set(got) == set(best)
+    for i, s in best.items():
+        if i not in odd:                                        # apart by more than double precision
+            assert got[i] == [j for _, j in sorted(s)[:3]], i
+    assert got[1] == [40, 43, 46] and len(odd) < 60
+
+
+def test_local_topk_holds_no_block_of_scores():
+    """Memory of a cell is that of its vectors and a tile, not of all its scores."""
+    import tracemalloc
+    import pyarrow as pa
+    v = np.random.default_rng(6).normal(size=(6000, 4))
+    t = pa.table({"id": np.arange(6000), "vec": pa.array(v.tolist(), pa.list_(pa.float64()))})
+    tracemalloc.start()
+    out = vx._local_topk(3, True)(t, t)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.num_rows == 18000 and peak < 6000 * 6000 * 8 / 4
