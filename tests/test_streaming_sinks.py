@@ -232,3 +232,25 @@ def test_log_offsets_and_zero_rows(spark, tmp_path):
         raise AssertionError("lost offsets went unnoticed")
     except Exception as e:
         assert "are lost" in str(e)
+
+
+def test_late_rows_arrive_in_slices_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A slice of time is one batch, however many tasks write it; results against SQL."""
+    import datetime
+    import duckdb
+    from oracle.queries import SQL
+    from ticklake.plans import catalog
+    from ticklake.streaming import ingest
+    t0 = datetime.datetime(2024, 1, 1)
+    rows = [(i, t0 + datetime.timedelta(minutes=37 * i), i % 13, "view", float(i % 29), None) for i in range(600)]
+    sf = str(tmp_path / "sf")
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).repartition(4).write.parquet(sf + "/events.parquet")
+    monkeypatch.setattr(catalog, "scratch_folder", lambda spark, name: str(tmp_path / name))
+    got = sorted((tuple(r) for r in catalog.REGISTRY["stream_late_rows"](spark, sf).collect()), key=str)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{sf}/events.parquet/*.parquet'")
+    assert got == sorted(con.sql(SQL["stream_late_rows"]).fetchall(), key=str)
+    assert len(list((tmp_path / "late" / "in").glob("part-*"))) > catalog.LATE_SLICES + 1      # not one task a slice
+    batches = ingest.read_commits(spark, str(tmp_path / "late" / "kept_commits")).select("batch_id").distinct().count()
+    assert batches == catalog.LATE_SLICES + 1

@@ -235,8 +235,9 @@ def dedupe_ingest(spark: SparkSession, source: dict, path: str, dead_path: str,
             _put(clustered(split.filter("verdict = 'kept'").drop("verdict", "copies", "newest")), path, *BRONZE_PARTITIONS)
             dead = split.filter(F.col("verdict").isin("late", "invalid")).withColumnRenamed("verdict", "reason")
             _put(dead.drop("copies", "newest"), dead_path)
-            n = {r["verdict"]: r["n"] for r in split.groupBy("verdict").agg(F.sum("copies").alias("n")).collect()}
-            newest = split.filter("verdict <> 'invalid'").agg(F.max("newest")).first()[0]
+            found = split.groupBy("verdict").agg(F.sum("copies").alias("n"), F.max("newest").alias("t")).collect()
+            n = {r["verdict"]: r["n"] for r in found}
+            newest = max((r["t"] for r in found if r["verdict"] != "invalid" and r["t"] is not None), default=None)
             commit_batch(s, commits, batch_id, {v: n.get(v, 0) for v in ("kept", "duplicate", "late", "invalid")}, newest)
         try:
             _noted(s, commits, batch_id, write)
