@@ -1,5 +1,6 @@
 """Plan-shape checks: the properties the scale design relies on."""
 
+import datetime as dt
 import re
 
 from pyspark.sql import functions as F
@@ -81,3 +82,31 @@ def test_risk_and_moments_run_no_python(spark):
     for name in ("portfolio_risk", "market_proxy", "return_moments", "quote_metrics"):
         plan = REGISTRY[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "FlatMapGroups" not in plan, name
+
+
+def test_append_live_bar_builds_the_bars_once(spark, tmp_path, monkeypatch):
+    from ticklake.plans import catalog, live
+    from ticklake.sources import fixtures as fx
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    rows = [(o, 1, o, s, 100.0 + 3 * s + o % 7, float(o), day(o // 2 + s)) for s in (1, 2, 3, 6) for o in range(40)]
+    rows += [(90, 1, 1, 2, 0.0, 1.0, day(60)), (91, 1, 1, 4, None, 1.0, day(5)), (92, 2, 1, 3, 7.0, 1.0, None),
+             (3, 1, 3, 1, 50.0, None, day(2)), (2, 2, None, 1, 51.0, 1.0, day(2))]
+    names = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double"
+    spark.createDataFrame(rows, names + ", l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    # first and last price of a day by order, repeats and nulls included
+    expected = {}
+    for r in rows:
+        expected.setdefault((r[3], r[6] and r[6].date()), []).append(r)
+    low_first = lambda r: [(x is not None, x or 0) for x in (r[0], r[1], r[2], r[4])]
+    bars = {(r.symbol, r.trade_date): (r.open_price, r.close_price) for r in fx.bars(spark, str(tmp_path)).collect()}
+    assert bars == {k: (min(v, key=low_first)[4], max(v, key=low_first)[4]) for k, v in expected.items()}
+    # the query as it reads without a stored table
+    last = live.last_closes(catalog.clean_bars(spark, str(tmp_path)))
+    plain = live.append_live_bar(catalog.prices(spark, str(tmp_path)), live.quotes_from_bars(fx.bars(spark, str(tmp_path))),
+                                 last.agg(F.date_add(F.max("trade_date"), 1)).scalar(), last)
+    built, real = [], fx.bars
+    monkeypatch.setattr(fx, "bars", lambda *a, **k: built.append(1) or real(*a, **k))
+    got = catalog.REGISTRY["append_live_bar"](spark, str(tmp_path))
+    assert len(built) == 1 and not [f for f in got.inputFiles() if "lineitem" in f]
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    assert got.filter("volume = 0").count() == 1          # symbol 6; the newest bar of symbol 2 has price 0
